@@ -1 +1,134 @@
-"""Model queries (Spark ML): registered into the catalog on import."""
+"""Model and metric queries over the feature table.
+
+The metric queries score a fixed rule (``purchase_times >= 2``) so the
+DuckDB oracle can reproduce the predictions; the model queries train
+Spark ML models on the whole feature table and are checked by row count.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..ml import metrics, models
+from ..operators import features
+from ..schemas import FEATURES
+from ..sinks import libsvm_lines
+from .catalog import feature_table, query
+
+
+def _filled(spark: SparkSession, d: str, scoring: bool = False) -> DataFrame:
+    return features.fill_features(feature_table(spark, d, scoring))
+
+
+def _assembled(spark: SparkSession, d: str, scoring: bool = False) -> DataFrame:
+    filled = _filled(spark, d, scoring)
+    return features.assemble(filled, label=None if scoring else "label")
+
+
+def rule_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """label + a hard prediction from a fixed rule, for the metric checks."""
+    f = _filled(spark, d)
+    pred = F.when(F.col("purchase_times") >= 2, 1.0).otherwise(0.0)
+    return f.select("label", pred.alias("prediction"))
+
+
+@query("libsvm_lines")
+def q_libsvm_lines(spark, d):
+    return libsvm_lines(_filled(spark, d))
+
+
+@query("normalize_l2")
+def q_normalize_l2(spark, d):
+    assembled = _assembled(spark, d)
+    norm = Normalizer(inputCol="features", outputCol="norm", p=2.0).transform(assembled)
+    arr = vector_to_array("norm")
+    return norm.select(
+        "user_id", "merchant_id", *[F.round(arr[i], 6).alias(f) for i, f in enumerate(FEATURES)]
+    )
+
+
+def _nb_model(spark, d):
+    data = models.prepare(_assembled(spark, d), "nb")
+    return models.train(data, "nb").stages[-1]
+
+
+@query("nb_priors")
+def q_nb_priors(spark, d):
+    nb = _nb_model(spark, d)
+    rows = [(float(i), round(float(v), 6)) for i, v in enumerate(nb.pi.toArray())]
+    schema = T.StructType(
+        [T.StructField("label", T.DoubleType()), T.StructField("log_prior", T.DoubleType())]
+    )
+    return spark.createDataFrame(rows, schema)
+
+
+@query("nb_likelihoods")
+def q_nb_likelihoods(spark, d):
+    nb = _nb_model(spark, d)
+    theta = nb.theta.toArray()
+    rows = [
+        (float(c), j, round(float(theta[c][j]), 6))
+        for c in range(theta.shape[0])
+        for j in range(theta.shape[1])
+    ]
+    schema = T.StructType(
+        [
+            T.StructField("label", T.DoubleType()),
+            T.StructField("feature", T.IntegerType()),
+            T.StructField("log_likelihood", T.DoubleType()),
+        ]
+    )
+    return spark.createDataFrame(rows, schema)
+
+
+@query("error_rate")
+def q_error_rate(spark, d):
+    return metrics.error_rate(rule_predictions(spark, d))
+
+
+@query("accuracy")
+def q_accuracy(spark, d):
+    return metrics.accuracy(rule_predictions(spark, d))
+
+
+@query("hard_auc")
+def q_hard_auc(spark, d):
+    return metrics.hard_auc(rule_predictions(spark, d))
+
+
+@query("hard_aupr")
+def q_hard_aupr(spark, d):
+    return metrics.hard_aupr(rule_predictions(spark, d))
+
+
+def _train_and_score(kind: str):
+    def run(spark, d):
+        data = models.prepare(_assembled(spark, d), f"train-{kind}")
+        return models.score(models.train(data, kind), data)
+
+    return run
+
+
+for _kind in models.KINDS:
+    query(f"train_{_kind}")(_train_and_score(_kind))
+
+
+@query("evaluate_all")
+def q_evaluate_all(spark, d):
+    return models.evaluate_all(_assembled(spark, d))
+
+
+@query("train_save_all")
+def q_train_save_all(spark, d):
+    return models.train_all(_assembled(spark, d))
+
+
+@query("submission")
+def q_submission(spark, d):
+    saved = models.train_all(_assembled(spark, d), kinds=("lr", "svm", "gbt", "svm_norm"))
+    paths = {r["model"]: r["path"] for r in saved.select("model", "path").collect()}
+    return models.score_to_submission(paths, _assembled(spark, d, scoring=True))

@@ -1,0 +1,9 @@
+"""Streaming.
+
+The click-log jobs this package covers are batch jobs over bounded
+tables: there is no event-time window, watermark, stateful operator or
+stream source among them, so nothing here is a streaming operator.
+Every query in ``plans.catalog`` is a DataFrame plan and can be run per
+micro-batch from ``writeStream.foreachBatch`` if the log arrives as a
+stream; that is the whole streaming surface.
+"""

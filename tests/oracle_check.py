@@ -72,7 +72,7 @@ def main(argv):
     from __spark_entry__ import oracle_sql, queries
     from clickmart.session import build_session
 
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     qs, sqls = queries(), oracle_sql()
