@@ -21,10 +21,13 @@ def count_distinct_with_null(c: ColumnOrName) -> Column:
     """Distinct values where NULL counts as one more value.
 
     Equals grouping by (keys, c) and then counting the groups, which is
-    how the feature job counted items, categories and days (T4).
+    how the feature job counted items, categories and days (T4). A struct
+    holding a NULL is itself not NULL, so ``count(DISTINCT struct(c))``
+    keeps the NULL group and stays a pure distinct aggregate (no extra
+    non-distinct flag, which would make Spark carry it through the
+    distinct-aggregate expansion).
     """
-    c = _c(c)
-    return F.count_distinct(c) + F.max(c.isNull().cast("int"))
+    return F.count_distinct(F.struct(_c(c)))
 
 
 def count_where(cond: Column) -> Column:

@@ -45,7 +45,7 @@ def read_csv(
         .option("header", header)
         .option("sep", ",")
         .option("nullValue", "")
-        .option("encoding", "utf8")
+        .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
         .csv(_paths(paths))
     )
