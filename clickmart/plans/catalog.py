@@ -34,7 +34,7 @@ def query(name: str):
 
 
 def _log(spark: SparkSession, d: str, *cols: str) -> DataFrame:
-    return fixtures.user_log(spark, d, cols or None)
+    return fixtures.log(spark, d, cols or None)
 
 
 def _users(spark: SparkSession, d: str) -> DataFrame:
