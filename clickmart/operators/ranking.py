@@ -27,7 +27,7 @@ def top_k(counts: DataFrame, key: str, count_col: str = "n", k: int = TOP_K) ->
     order = _order(key, count_col)
     best = counts.orderBy(*order).limit(k)
     return best.select(
-        F.row_number().over(Window.orderBy(*order)).alias("rank"), key, count_col
+        F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("rank"), key, count_col
     )
 
 

@@ -57,8 +57,24 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has none
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return str(master).startswith("local")
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", "remote")
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -68,10 +84,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     is created only for a local session that has none (tests), never on a
     cluster, where a machine-local folder would not survive executor loss.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    base = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
     if not base:
-        if not _is_local(spark):
+        if not _is_local(spark) or sc is None:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a shared folder is needed "
                 "for staged tables on a cluster"

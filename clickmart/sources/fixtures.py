@@ -33,9 +33,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import ACTION_FAVOURITE, ACTION_PURCHASE, LOG_COLUMNS
-from ..session import fresh_dir
+from ..session import app_id, fresh_dir
 
 _ORDER_COLS = {"user_id"}
 _PART_COLS = {"cat_id", "brand_id"}
@@ -72,6 +73,10 @@ def user_log(
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus"
     )
+    ship = F.col("l_shipdate")
+    if isinstance(li.schema["l_shipdate"].dataType, T.TimestampType):
+        # read as an instant: take its UTC wall clock, whatever the session zone
+        ship = F.to_utc_timestamp(ship, spark.conf.get("spark.sql.session.timeZone"))
     df = li
     if need_orders:
         orders = table(spark, sf_dir, "orders").select(
@@ -90,7 +95,7 @@ def user_log(
         "cat_id": lambda: F.col("p_size").cast("bigint"),
         "seller_id": lambda: F.col("l_suppkey").cast("bigint"),
         "brand_id": lambda: F.col("p_brand").cast("string"),
-        "time_stamp": lambda: F.date_format("l_shipdate", "MMdd"),
+        "time_stamp": lambda: F.date_format(ship, "MMdd"),
         "action_type": lambda: _action(F.col("l_returnflag"), F.col("l_linestatus")),
     }
     return df.select(*[exprs[c]().alias(c) for c in cols])
@@ -102,18 +107,22 @@ _LOCK = threading.Lock()
 
 def log_table(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
     """The full log, written once per session and ``sf_dir``, read back."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         path = None if refresh else _LOG_TABLES.get(key)
-        if path is None:
-            path = fresh_dir(spark, "user-log")
-            (
-                user_log(spark, sf_dir, strict=True)
-                .sortWithinPartitions("time_stamp", "user_id")
-                .write.parquet(path)
-            )
-            _LOG_TABLES[key] = path
-    return spark.read.parquet(path)
+        if path is not None:
+            try:
+                return spark.read.parquet(path)
+            except Exception:  # noqa: BLE001 - staged files gone: write again
+                path = None
+        path = fresh_dir(spark, "user-log")
+        (
+            user_log(spark, sf_dir, strict=True)
+            .sortWithinPartitions("time_stamp", "user_id")
+            .write.parquet(path)
+        )
+        _LOG_TABLES[key] = path
+        return spark.read.parquet(path)
 
 
 def log(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
