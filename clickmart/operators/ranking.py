@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_DAY, TOP_K
-from . import filters, joins
+from . import filters
 from .aggregates import count_by
 
 
@@ -52,14 +52,17 @@ def youth_seller_counts(
     """Non-click actions per seller on ``day`` by young users.
 
     The log is first counted per (user, seller), partially on the map
-    side, so the user-keyed semi-join sees one row per pair: a user with
-    a third of the log arrives as a handful of rows, not a skewed
-    partition. The per-seller total is then a second partial aggregate.
+    side, so the user-keyed join sees one row per pair: a user with a
+    third of the log arrives as a handful of rows, not a skewed
+    partition. The join is an inner join with the *distinct* young user
+    ids (same rows as a semi-join); a semi-join would be pushed below the
+    pair count by the optimizer and shuffle the raw log by user again.
     """
     engaged = filters.day_engaged(log, day).select("user_id", "seller_id")
     per_pair = count_by(engaged, ["user_id", "seller_id"])
-    young = joins.join_youth(per_pair, filters.select_users(users, users_mode))
-    return young.groupBy("seller_id").agg(F.sum("n").alias("n"))
+    young = filters.youth(filters.select_users(users, users_mode)).select("user_id").distinct()
+    joined = per_pair.join(young, "user_id")
+    return joined.groupBy("seller_id").agg(F.sum("n").alias("n"))
 
 
 def top_merchants(
