@@ -87,3 +87,13 @@ def test_fixture_figures(spark):
     assert day.where("action_type != 0").count() == 106
     assert day.where("action_type = 2").count() == 58
     assert shares.buyers(log).count() == 56
+
+
+def test_stored_log_equals_the_view(spark):
+    stored = fixtures.log(spark, SMALL)
+    view = fixtures.user_log(spark, SMALL)
+    assert stored.columns == view.columns
+    assert stored.count() == view.count()
+    assert stored.exceptAll(view).count() == 0 and view.exceptAll(stored).count() == 0
+    # same session, same folder: the log is written once
+    assert fixtures.log_table(spark, SMALL).inputFiles() == fixtures.log_table(spark, SMALL).inputFiles()
