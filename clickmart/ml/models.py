@@ -120,33 +120,39 @@ def describe(model: PipelineModel) -> str:
     return getattr(last, "toDebugString", str(last))
 
 
+EVAL_SCHEMA = (
+    "model string, error_rate double, accuracy double, hard_auc double, hard_aupr double, "
+    "rows long, train_error double, score_auc double"
+)
+
+
 def evaluate_all(assembled: DataFrame, kinds: Iterable[str] = KINDS, weights=(0.6, 0.4)) -> DataFrame:
     """Train on a random 60% and report hold-out metrics per model (Q9).
 
-    One row per model: test metrics from one aggregate each, plus the
-    real ROC area from the continuous score.
+    One row per model: hold-out metrics from one aggregate, training
+    error, and the real ROC area from the continuous score. Each model's
+    metrics are a handful of scalars, gathered as soon as it is scored, so
+    cached splits are released when the loop ends.
     """
     data = prepare(assembled, "evaluate")
     training, test = split(data, weights)
     training = training.persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
-    for kind in kinds:
-        model = train(training, kind)
-        scored = score(model, test).persist(StorageLevel.MEMORY_AND_DISK)
-        auc = metrics.score_auc(scored, "score")
-        train_err = metrics.error_rate(score(model, training)).first()[0]
-        rows.append(
-            metrics.summary(scored).select(
-                F.lit(kind).alias("model"),
-                "*",
-                F.lit(train_err).cast("double").alias("train_error"),
-                F.lit(round(auc, 9)).cast("double").alias("score_auc"),
+    try:
+        for kind in kinds:
+            model = train(training, kind)
+            scored = score(model, test).persist(StorageLevel.MEMORY_AND_DISK)
+            m = metrics.summary(scored).first()
+            auc = round(metrics.score_auc(scored, "score"), 9)
+            train_err = metrics.error_rate(score(model, training)).first()[0]
+            scored.unpersist()
+            rows.append(
+                (kind, m.error_rate, m.accuracy, m.hard_auc, m.hard_aupr, m.rows, train_err, auc)
             )
-        )
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    finally:
+        training.unpersist()
+        data.unpersist()
+    return data.sparkSession.createDataFrame(rows, EVAL_SCHEMA)
 
 
 def train_all(
@@ -157,15 +163,15 @@ def train_all(
     spark = data.sparkSession
     out_dir = out_dir or fresh_dir(spark, "models")
     rows = []
-    for kind in kinds:
-        model = train(data, kind, **SAVE_OVERRIDES.get(kind, {}))
-        path = save(model, f"{out_dir}/{kind}")
-        err = metrics.error_rate(score(model, data))
-        rows.append(err.select(F.lit(kind).alias("model"), F.lit(path).alias("path"), "error_rate"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    try:
+        for kind in kinds:
+            model = train(data, kind, **SAVE_OVERRIDES.get(kind, {}))
+            path = save(model, f"{out_dir}/{kind}")
+            err = metrics.error_rate(score(model, data)).first()[0]
+            rows.append((kind, path, err))
+    finally:
+        data.unpersist()
+    return spark.createDataFrame(rows, "model string, path string, error_rate double")
 
 
 def score_to_submission(

@@ -53,7 +53,10 @@ def q_normalize_l2(spark, d):
 
 def _nb_model(spark, d):
     data = models.prepare(_assembled(spark, d), "nb")
-    return models.train(data, "nb").stages[-1]
+    try:
+        return models.train(data, "nb").stages[-1]
+    finally:
+        data.unpersist()
 
 
 @query("nb_priors")
@@ -108,7 +111,10 @@ def q_hard_aupr(spark, d):
 def _train_and_score(kind: str):
     def run(spark, d):
         data = models.prepare(_assembled(spark, d), f"train-{kind}")
-        return models.score(models.train(data, kind), data)
+        model = models.train(data, kind)
+        # scoring re-reads the staged files; the cache served the fit only
+        data.unpersist()
+        return models.score(model, data)
 
     return run
 

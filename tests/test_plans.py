@@ -53,3 +53,11 @@ def test_share_window_runs_after_the_aggregate(spark):
     # the only single-partition step is the percentage over <= 8 groups
     p = optimized(Q["age_share"](spark, MEDIUM))
     assert p.index("Window") < p.index("Aggregate")
+
+
+def test_young_merchant_count_pre_aggregates_before_the_user_join(spark):
+    o = optimized(Q["top_merchants_all"](spark, MEDIUM))
+    assert "LeftSemi" not in o
+    join_at = o.index("Join Inner")
+    # the (user, seller) count sits below the join, on the log side
+    assert "Aggregate [user_id#" in o[join_at:] or "Aggregate [user_id" in o[join_at:]
