@@ -101,6 +101,10 @@ def user_log(
     return df.select(*[exprs[c]().alias(c) for c in cols])
 
 
+# row groups of the stored log: several per file, so a day filter can
+# skip most of a file by its min/max statistics
+ROW_GROUP_BYTES = 16 * 1024 * 1024
+
 _LOG_TABLES: dict[tuple[str, str], str] = {}
 _LOCK = threading.Lock()
 
@@ -118,8 +122,10 @@ def log_table(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFr
         path = fresh_dir(spark, "user-log")
         (
             user_log(spark, sf_dir, strict=True)
-            .sortWithinPartitions("time_stamp", "user_id")
-            .write.parquet(path)
+            .hint("rebalance", "user_id", "seller_id")
+            .sortWithinPartitions("time_stamp", "user_id", "seller_id")
+            .write.option("parquet.block.size", ROW_GROUP_BYTES)
+            .parquet(path)
         )
         _LOG_TABLES[key] = path
         return spark.read.parquet(path)
