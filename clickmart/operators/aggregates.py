@@ -22,11 +22,6 @@ def count_by(df: DataFrame, keys: str | Sequence[str], name: str = "n") -> DataF
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def distinct_values(df: DataFrame, key: str) -> DataFrame:
-    """One row per distinct key (E2), e.g. the distinct buyers of a day."""
-    return df.select(key).distinct()
-
-
 def distinct_count_by(
     df: DataFrame, keys: str | Sequence[str], value: str, name: str, null_as_value: bool = True
 ) -> DataFrame:

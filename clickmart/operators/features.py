@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_distinct_with_null, count_where, not_equal_null_safe
+from .aggregates import distinct_count_by
 from ..schemas import (
     ACTION_CART,
     ACTION_CLICK,
@@ -39,9 +40,8 @@ def total_logs(log: DataFrame) -> DataFrame:
 
 def distinct_per_pair(log: DataFrame, column: str, name: str) -> DataFrame:
     """Distinct ``column`` values per (user, merchant), NULL counted."""
-    return log.groupBy("user_id", F.col("seller_id").alias("merchant_id")).agg(
-        count_distinct_with_null(column).alias(name)
-    )
+    pairs = log.withColumnRenamed("seller_id", "merchant_id")
+    return distinct_count_by(pairs, list(PAIR_KEYS), column, name)
 
 
 def action_counts(log: DataFrame) -> DataFrame:

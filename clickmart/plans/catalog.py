@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, features, filters, joins, ranking, shares
+from ..operators import features, filters, joins, ranking, shares
 from ..schemas import LOG_COLUMNS, LOG_SCHEMA
 from ..sources import fixtures, readers
 

@@ -7,7 +7,6 @@ partition sizing) and resolves where staged tables may be written.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -106,15 +105,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the shared staging area."""
     return shared_dir(spark, "clickmart", f"{label}-{uuid.uuid4().hex[:12]}")
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a reliable target."""
-    return shared_dir(spark)
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import day_code
 from ..schemas import ACTION_FAVOURITE, ACTION_PURCHASE, LOG_COLUMNS
 from ..session import app_id, fresh_dir
 
@@ -95,7 +96,7 @@ def user_log(
         "cat_id": lambda: F.col("p_size").cast("bigint"),
         "seller_id": lambda: F.col("l_suppkey").cast("bigint"),
         "brand_id": lambda: F.col("p_brand").cast("string"),
-        "time_stamp": lambda: F.date_format(ship, "MMdd"),
+        "time_stamp": lambda: day_code(ship),
         "action_type": lambda: _action(F.col("l_returnflag"), F.col("l_linestatus")),
     }
     return df.select(*[exprs[c]().alias(c) for c in cols])
