@@ -119,3 +119,16 @@ def test_join_youth_emits_each_log_row_once(spark):
     log = log_df(spark, [(1, 10, 1, 5, "1111", 1)])
     users = users_df(spark, [(1, 2, 1), (1, 3, 1)])
     assert joins.join_youth(log, users).count() == 1
+
+
+def test_empty_log(spark):
+    log = log_df(spark, [])
+    users = users_df(spark, [(1, 2, 1)])
+    assert ranking.top_items(log).count() == 0
+    assert ranking.top_merchants(log, users).count() == 0
+    assert shares.share(log, users, "age_range").count() == 0
+    assert shares.buyer_counts(log, users, "gender").count() == 0
+    pairs = spark.createDataFrame([(1, 5, 0)], "user_id long, merchant_id long, label int")
+    r = features.fill_features(features.pair_features(pairs, log, users)).first()
+    assert (r.age_range, r.gender) == (2, 1)
+    assert all(r[f] == 0 for f in features.LOG_FEATURES)
