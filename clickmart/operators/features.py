@@ -113,12 +113,10 @@ def fill_features(df: DataFrame, value: int = 0, gender_value: int | None = None
     ``gender_value`` lets the missing gender get its own code (e.g. 2,
     "unknown") instead of 0, which is also a valid gender (T11).
     """
-    out = df.fillna(value, subset=list(FEATURES))
-    if gender_value is not None:
-        out = df.fillna(value, subset=[f for f in FEATURES if f != "gender"]).fillna(
-            gender_value, subset=["gender"]
-        )
-    return out
+    if gender_value is None:
+        return df.fillna(value, subset=list(FEATURES))
+    rest = [f for f in FEATURES if f != "gender"]
+    return df.fillna(value, subset=rest).fillna(gender_value, subset=["gender"])
 
 
 def assemble(

@@ -42,7 +42,7 @@ def test_t2_user_filter_modes(spark):
 
 
 def test_t3_ties_broken_by_id_at_the_cut(spark):
-    # items 7, 8, 9 tie with 1 action; k = 2 keeps the two best counts' ids in id order
+    # items 7, 8, 9 tie with 1 action; the cut at k = 3 keeps the lowest ids
     rows = [(1, 5, 1, 1, "1111", 1)] * 3 + [(1, i, 1, 1, "1111", 1) for i in (9, 8, 7)]
     top = ranking.top_items(log_df(spark, rows), k=3).collect()
     assert [(r["rank"], r.item_id, r.n) for r in top] == [(1, 5, 3), (2, 7, 1), (3, 8, 1)]
