@@ -17,11 +17,11 @@ Pass ``strict=True`` to always run both joins (the test suite checks both
 forms give the same rows).
 
 ``log_table`` goes one step further and stores the whole log once per
-session in the shared staging folder, each file sorted by (day code,
-user): later queries read only the columns they use, skip row groups
-whose day range misses their day filter (parquet min/max statistics),
-and never repeat the three-table join. The sort is per task: no sampling
-pass and no extra shuffle over the joined log. This is how the log would be kept in production (a
+session in the shared staging folder; later queries read only the
+columns they use and never repeat the three-table join. The layout
+depends on the size: day folders (exact pruning for one-day reports)
+once a day holds millions of rows, pair-clustered files below that (see
+``write_log_table``). This is how the log would be kept in production (a
 stored fact table); the view is only a device of the generated data.
 """
 
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import day_code
-from ..schemas import ACTION_FAVOURITE, ACTION_PURCHASE, LOG_COLUMNS
+from ..schemas import ACTION_FAVOURITE, ACTION_PURCHASE, LOG_COLUMNS, LOG_SCHEMA
 from ..session import app_id, fresh_dir
 
 _ORDER_COLS = {"user_id"}
@@ -102,34 +102,78 @@ def user_log(
     return df.select(*[exprs[c]().alias(c) for c in cols])
 
 
-# row groups of the stored log: several per file, so a day filter can
-# skip most of a file by its min/max statistics
+# Fixed layout parameters of the stored log.
+# row groups: several per file, so a day filter can skip most of a file
 ROW_GROUP_BYTES = 16 * 1024 * 1024
+# rows per day from which the log is split into one folder per day code
+DAY_FOLDER_MIN_ROWS = 2_000_000
+DAYS_PER_YEAR = 366
 
-_LOG_TABLES: dict[tuple[str, str], str] = {}
+_LOG_TABLES: dict[tuple[str, str], DataFrame] = {}
 _LOCK = threading.Lock()
 
 
-def log_table(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
-    """The full log, written once per session and ``sf_dir``, read back."""
-    key = (app_id(spark), os.path.abspath(sf_dir))
-    with _LOCK:
-        path = None if refresh else _LOG_TABLES.get(key)
-        if path is not None:
-            try:
-                return spark.read.parquet(path)
-            except Exception:  # noqa: BLE001 - staged files gone: write again
-                path = None
-        path = fresh_dir(spark, "user-log")
+def choose_layout(spark: SparkSession, sf_dir: str) -> str:
+    """``day`` when each day folder would hold enough rows, else ``pair``.
+
+    Counting lineitem reads only parquet footers. Day folders give exact
+    partition pruning to the one-day reports, but below a few million
+    rows per day they are just many small files.
+    """
+    rows = table(spark, sf_dir, "lineitem").count()
+    return "day" if rows / DAYS_PER_YEAR >= DAY_FOLDER_MIN_ROWS else "pair"
+
+
+def write_log_table(spark: SparkSession, sf_dir: str, layout: str) -> str:
+    """Write the full log view once; returns the folder.
+
+    ``pair``: rebalanced on (user, seller), so all rows of an ordinary
+    pair share a file (pair-keyed aggregates collapse them map-side) and
+    AQE splits a hot pair over several files; each file sorted by day
+    with small row groups for day filters.
+    ``day``: one folder per day code (partition pruning for the one-day
+    reports), rebalanced on the day so AQE cuts a big day into evenly
+    sized files; each file sorted by (user, seller).
+    """
+    path = fresh_dir(spark, f"user-log-{layout}")
+    view = user_log(spark, sf_dir, strict=True)
+    if layout == "pair":
         (
-            user_log(spark, sf_dir, strict=True)
-            .hint("rebalance", "user_id", "seller_id")
+            view.hint("rebalance", "user_id", "seller_id")
             .sortWithinPartitions("time_stamp", "user_id", "seller_id")
             .write.option("parquet.block.size", ROW_GROUP_BYTES)
             .parquet(path)
         )
-        _LOG_TABLES[key] = path
-        return spark.read.parquet(path)
+    elif layout == "day":
+        (
+            view.hint("rebalance", "time_stamp")
+            .sortWithinPartitions("time_stamp", "user_id", "seller_id")
+            .write.partitionBy("time_stamp")
+            .parquet(path)
+        )
+    else:
+        raise ValueError(f"layout must be 'pair' or 'day', got {layout!r}")
+    return path
+
+
+def log_table(
+    spark: SparkSession, sf_dir: str, refresh: bool = False, layout: str | None = None
+) -> DataFrame:
+    """The full log, written once per session and ``sf_dir``, read back.
+
+    The DataFrame itself is kept, so its file listing is done once.
+    """
+    key = (app_id(spark), os.path.abspath(sf_dir))
+    with _LOCK:
+        if not refresh and layout is None and key in _LOG_TABLES:
+            return _LOG_TABLES[key]
+        chosen = layout or choose_layout(spark, sf_dir)
+        path = write_log_table(spark, sf_dir, chosen)
+        # the schema keeps day codes as text (partition inference would read 0511 as 511)
+        df = spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
+        if layout is None:
+            _LOG_TABLES[key] = df
+        return df
 
 
 def log(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:

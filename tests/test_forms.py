@@ -97,3 +97,17 @@ def test_stored_log_equals_the_view(spark):
     assert stored.exceptAll(view).count() == 0 and view.exceptAll(stored).count() == 0
     # same session, same folder: the log is written once
     assert fixtures.log_table(spark, SMALL).inputFiles() == fixtures.log_table(spark, SMALL).inputFiles()
+
+
+def test_day_folder_layout_equals_the_view(spark):
+    by_day = fixtures.log_table(spark, SMALL, layout="day")
+    view = fixtures.user_log(spark, SMALL)
+    assert by_day.schema["time_stamp"].dataType.simpleString() == "string"
+    assert by_day.exceptAll(view).count() == 0 and view.exceptAll(by_day).count() == 0
+    # a one-day filter prunes folders instead of reading them
+    plan = by_day.where("time_stamp = '1111'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(time_stamp" in plan and "= 1111)" in plan
+
+
+def test_layout_choice_follows_size(spark):
+    assert fixtures.choose_layout(spark, MEDIUM) == "pair"
