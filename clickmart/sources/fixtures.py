@@ -109,7 +109,7 @@ ROW_GROUP_BYTES = 16 * 1024 * 1024
 DAY_FOLDER_MIN_ROWS = 2_000_000
 DAYS_PER_YEAR = 366
 
-_LOG_TABLES: dict[tuple[str, str], DataFrame] = {}
+_LOG_TABLES: dict[tuple[str, str], str] = {}
 _LOCK = threading.Lock()
 
 
@@ -159,21 +159,20 @@ def write_log_table(spark: SparkSession, sf_dir: str, layout: str) -> str:
 def log_table(
     spark: SparkSession, sf_dir: str, refresh: bool = False, layout: str | None = None
 ) -> DataFrame:
-    """The full log, written once per session and ``sf_dir``, read back.
+    """The full log, written once per application and ``sf_dir``, read back.
 
-    The DataFrame itself is kept, so its file listing is done once.
+    The folder is remembered, not the DataFrame, so each caller reads it
+    through its own session.
     """
     key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
-        if not refresh and layout is None and key in _LOG_TABLES:
-            return _LOG_TABLES[key]
-        chosen = layout or choose_layout(spark, sf_dir)
-        path = write_log_table(spark, sf_dir, chosen)
-        # the schema keeps day codes as text (partition inference would read 0511 as 511)
-        df = spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
-        if layout is None:
-            _LOG_TABLES[key] = df
-        return df
+        path = None if (refresh or layout) else _LOG_TABLES.get(key)
+        if path is None:
+            path = write_log_table(spark, sf_dir, layout or choose_layout(spark, sf_dir))
+            if layout is None:
+                _LOG_TABLES[key] = path
+    # the schema keeps day codes as text (partition inference would read 0511 as 511)
+    return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
 
 
 def log(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
