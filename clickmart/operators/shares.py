@@ -76,16 +76,16 @@ def share_report(raw_counts: DataFrame, attr: str, valid: Sequence[int] | None =
 
 
 SHARE_SQL = """
-select {attr}, count(distinct ul.user_id) as buy_num
-from user_log ul
-left join user_info ui on ul.user_id = ui.user_id
-where action_type = 2 and time_stamp = '{day}' and {predicate}
-group by {attr}
+SELECT ui.{attr} AS {attr}, COUNT(DISTINCT ul.user_id) AS buy_num
+FROM user_log AS ul
+LEFT OUTER JOIN user_info AS ui USING (user_id)
+WHERE ul.action_type = 2 AND ul.time_stamp = '{day}' AND {predicate}
+GROUP BY ui.{attr}
 """
 
 PREDICATES = {
-    "age_range": "age_range >= 1 and age_range <= 8",
-    "gender": "gender in (0, 1)",
+    "age_range": "ui.age_range BETWEEN 1 AND 8",
+    "gender": "ui.gender IN (0, 1)",
 }
 
 
