@@ -111,3 +111,23 @@ def test_submission_file(spark, assembled):
     back = spark.read.option("header", True).csv(path)
     assert back.columns == ["user_id", "merchant_id", "score"]
     assert back.count() == assembled.count()
+
+
+def test_sgd_svm_matches_mllib_weights(spark, assembled):
+    from pyspark.mllib.classification import SVMWithSGD as MLlibSVM
+    from pyspark.mllib.linalg import Vectors as MV
+    from pyspark.mllib.regression import LabeledPoint
+
+    ours = models.train(assembled, "svm", maxIter=20).stages[-1].getOrDefault("weights")
+    # the reference implementation, on the same rows (test-side only)
+    rdd = assembled.rdd.map(lambda r: LabeledPoint(r.label, MV.dense(r.features.toArray())))
+    theirs = MLlibSVM.train(rdd, iterations=20).weights.toArray()
+    assert max(abs(a - b) for a, b in zip(ours, theirs)) < 1e-9
+
+
+def test_sgd_svm_pipeline_saves_and_loads(spark, assembled):
+    model = models.train(assembled, "svm_norm", maxIter=5)
+    path = models.save(model, fresh_dir(spark, "sgd-model"))
+    a = models.score(model, assembled).select("user_id", "merchant_id", "prediction", "score")
+    b = models.score(models.load(path), assembled).select("user_id", "merchant_id", "prediction", "score")
+    assert a.exceptAll(b).count() == 0
