@@ -157,19 +157,25 @@ def write_log_table(spark: SparkSession, sf_dir: str, layout: str) -> str:
 
 
 def log_table(
-    spark: SparkSession, sf_dir: str, refresh: bool = False, layout: str | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    refresh: bool = False,
+    layout: str | None = None,
+    remember: bool | None = None,
 ) -> DataFrame:
     """The full log, written once per application and ``sf_dir``, read back.
 
     The folder is remembered, not the DataFrame, so each caller reads it
-    through its own session.
+    through its own session. A forced ``layout`` is not remembered unless
+    ``remember=True`` (then later queries on ``sf_dir`` use it).
     """
     key = (app_id(spark), os.path.abspath(sf_dir))
+    remember = (layout is None) if remember is None else remember
     with _LOCK:
         path = None if (refresh or layout) else _LOG_TABLES.get(key)
         if path is None:
             path = write_log_table(spark, sf_dir, layout or choose_layout(spark, sf_dir))
-            if layout is None:
+            if remember:
                 _LOG_TABLES[key] = path
     # the schema keeps day codes as text (partition inference would read 0511 as 511)
     return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
