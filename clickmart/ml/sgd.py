@@ -56,13 +56,20 @@ def gradient_step_sums(data: DataFrame, weights: list[float]) -> tuple[list[floa
     """Hinge sub-gradient sum, loss sum and row count at ``weights``.
 
     ``data`` has ``x`` (array of doubles) and ``y`` (label scaled to -1/+1).
+    The margin is projected once per row; each row then adds ``c * x``
+    with ``c = -y`` where the hinge is active and 0 elsewhere.
     """
     x, y = F.col("x"), F.col("y")
-    margin = _margin(x, weights)
-    active = F.lit(1.0) > y * margin
-    sums = [F.sum(F.when(active, -y * x[j]).otherwise(0.0)).alias(f"g{j}") for j in range(len(weights))]
-    loss = F.sum(F.when(active, F.lit(1.0) - y * margin).otherwise(0.0)).alias("loss")
-    row = data.agg(*sums, loss, F.count(F.lit(1)).alias("n")).first()
+    with_margin = data.select("x", "y", _margin(x, weights).alias("m"))
+    m = F.col("m")
+    active = F.lit(1.0) > y * m
+    rows = with_margin.select(
+        "x",
+        F.when(active, -y).otherwise(0.0).alias("c"),
+        F.when(active, F.lit(1.0) - y * m).otherwise(0.0).alias("l"),
+    )
+    sums = [F.sum(F.col("c") * x[j]).alias(f"g{j}") for j in range(len(weights))]
+    row = rows.agg(*sums, F.sum("l").alias("loss"), F.count(F.lit(1)).alias("n")).first()
     return [row[f"g{j}"] or 0.0 for j in range(len(weights))], row["loss"] or 0.0, row["n"]
 
 
