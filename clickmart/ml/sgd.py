@@ -122,10 +122,16 @@ class SVMWithSGDModel(Model, _SGDParams, DefaultParamsReadable, DefaultParamsWri
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         g = self.getOrDefault
-        margin = _margin(vector_to_array(g(self.featuresCol)), g(self.weights))
-        return dataset.withColumn(
-            g(self.rawPredictionCol), array_to_vector(F.array(-margin, margin))
-        ).withColumn(
-            g(self.predictionCol),
-            F.when(vector_to_array(g(self.rawPredictionCol))[1] > F.lit(g(self.threshold)), 1.0).otherwise(0.0),
+        margin_col = "__svm_margin"
+        scored = dataset.withColumn(
+            margin_col, _margin(vector_to_array(g(self.featuresCol)), g(self.weights))
+        )
+        margin = F.col(margin_col)
+        return (
+            scored.withColumn(g(self.rawPredictionCol), array_to_vector(F.array(-margin, margin)))
+            .withColumn(
+                g(self.predictionCol),
+                F.when(margin > F.lit(g(self.threshold)), 1.0).otherwise(0.0),
+            )
+            .drop(margin_col)
         )
