@@ -67,7 +67,7 @@ _ESTIMATORS = {
 }
 
 
-def pipeline(kind: str, **overrides) -> Pipeline:
+def estimator(kind: str, **overrides) -> Pipeline:
     """The estimator for ``kind`` with the original parameters."""
     if kind not in _ESTIMATORS:
         raise ValueError(f"unknown model kind {kind!r}; one of {tuple(_ESTIMATORS)}")
@@ -91,7 +91,7 @@ def split(df: DataFrame, weights=(0.6, 0.4), seed: int = SEED) -> list[DataFrame
 
 def train(df: DataFrame, kind: str, **overrides) -> PipelineModel:
     """Fit one model on (label, features) rows."""
-    return pipeline(kind, **overrides).fit(df)
+    return estimator(kind, **overrides).fit(df)
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Iterable[str] = ("user_id", "merchant_id")) -> DataFrame:
