@@ -74,3 +74,30 @@ def test_top_items_equals_brute_force(spark, rs, k):
     want = [(rank + 1, item, n) for rank, (n, _, item) in enumerate(counts)]
     got = [(r["rank"], r.item_id, r.n) for r in ranking.top_items(_df(spark, rs), k=k).collect()]
     assert got == want
+
+
+profile = st.tuples(st.integers(1, 4), st.one_of(st.none(), st.integers(0, 8)), st.one_of(st.none(), st.integers(0, 2)))
+profiles = st.lists(profile, min_size=0, max_size=8)
+
+
+@SETTINGS
+@given(rs=rows, us=profiles, mode=st.sampled_from(["all", "complete", "any"]), attr=st.sampled_from(["age_range", "gender"]))
+def test_buyer_counts_equal_brute_force(spark, rs, us, mode, attr):
+    from clickmart.operators import shares
+    from clickmart.schemas import USERS_SCHEMA
+
+    keep = {
+        "all": lambda a, g: True,
+        "complete": lambda a, g: g is not None,
+        "any": lambda a, g: a is not None or g is not None,
+    }[mode]
+    buyers = {u for (u, _, _, _, d, a) in rs if d == "1111" and a == 2}
+    pos = 1 if attr == "age_range" else 2
+    want: dict = {}
+    for p in us:
+        if p[0] in buyers and keep(p[1], p[2]):
+            want.setdefault(p[pos], set()).add(p[0])
+    want = {k: len(v) for k, v in want.items()}
+    users = spark.createDataFrame(us, USERS_SCHEMA)
+    got = {r[attr]: r.buy_num for r in shares.buyer_counts(_df(spark, rs), users, attr, users_mode=mode).collect()}
+    assert got == want
