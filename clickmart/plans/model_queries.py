@@ -59,6 +59,9 @@ def _nb_model(spark, d):
         data.unpersist()
 
 
+# The naive Bayes queries return the fitted parameters: one value per
+# class (priors) or per class and feature (likelihoods), so the rows built
+# on the driver are bounded by the model, not by the data.
 @query("nb_priors")
 def q_nb_priors(spark, d):
     nb = _nb_model(spark, d)
