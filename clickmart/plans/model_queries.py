@@ -7,6 +7,8 @@ Spark ML models on the whole feature table and are checked by row count.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 from ..ml import metrics, models
 from ..operators import features
 from ..schemas import FEATURES
+from ..session import app_id
 from ..sinks import libsvm_lines
 from .catalog import feature_table, query
 
@@ -131,13 +134,32 @@ def q_evaluate_all(spark, d):
     return models.evaluate_all(_assembled(spark, d))
 
 
+# Models saved by ``train_save_all``, per application and table folder:
+# the scoring query loads them, as the original scoring job loaded the
+# models its save job wrote (training is deterministic, so a retrain
+# would give the same models).
+_SAVED: dict[tuple[str, str], dict[str, str]] = {}
+SUBMISSION_KINDS = ("lr", "svm", "gbt", "svm_norm")
+
+
+def _remember(spark, d, saved: DataFrame) -> dict[str, str]:
+    paths = {r["model"]: r["path"] for r in saved.select("model", "path").collect()}
+    _SAVED.setdefault((app_id(spark), os.path.abspath(d)), {}).update(paths)
+    return paths
+
+
 @query("train_save_all")
 def q_train_save_all(spark, d):
-    return models.train_all(_assembled(spark, d))
+    saved = models.train_all(_assembled(spark, d))
+    _remember(spark, d, saved)
+    return saved
 
 
 @query("submission")
 def q_submission(spark, d):
-    saved = models.train_all(_assembled(spark, d), kinds=("lr", "svm", "gbt", "svm_norm"))
-    paths = {r["model"]: r["path"] for r in saved.select("model", "path").collect()}
+    known = _SAVED.get((app_id(spark), os.path.abspath(d)), {})
+    paths = {k: known[k] for k in SUBMISSION_KINDS if k in known}
+    missing = tuple(k for k in SUBMISSION_KINDS if k not in paths)
+    if missing:
+        paths.update(_remember(spark, d, models.train_all(_assembled(spark, d), kinds=missing)))
     return models.score_to_submission(paths, _assembled(spark, d, scoring=True))
