@@ -131,3 +131,21 @@ def test_sgd_svm_pipeline_saves_and_loads(spark, assembled):
     a = models.score(model, assembled).select("user_id", "merchant_id", "prediction", "score")
     b = models.score(models.load(path), assembled).select("user_id", "merchant_id", "prediction", "score")
     assert a.exceptAll(b).count() == 0
+
+
+def test_submission_reuses_saved_models(spark, assembled, monkeypatch):
+    from clickmart.plans import model_queries as mq
+
+    rows = []
+    for kind, extra in (("lr", {"maxIter": 5}), ("svm", {"maxIter": 2}), ("gbt", {"maxIter": 1}), ("svm_norm", {"maxIter": 2})):
+        path = models.save(models.train(assembled, kind, **extra), fresh_dir(spark, f"reuse-{kind}"))
+        rows.append((kind, path, 0.0))
+    monkeypatch.setattr(mq, "_SAVED", {})  # this test's saved models stay local to it
+    mq._remember(spark, SMALL, spark.createDataFrame(rows, "model string, path string, error_rate double"))
+
+    def no_training(*a, **k):
+        raise AssertionError("submission retrained a saved model")
+
+    monkeypatch.setattr(models, "train_all", no_training)
+    out = mq.q_submission(spark, SMALL)
+    assert set(r.model for r in out.select("model").distinct().collect()) == {"lr", "svm", "gbt", "svm_norm"}
