@@ -62,3 +62,14 @@ def test_features_train_score_jobs(spark, inputs):
     assert scored.count() == 2 * n_test
     sub = spark.read.option("header", True).csv(str(d / "sub" / "lr"))
     assert sub.columns == ["user_id", "merchant_id", "score"] and sub.count() == n_test
+
+
+def test_evaluate_job_on_libsvm(spark, inputs):
+    d, p = inputs
+    jobs.features_job(spark, p["user_log"], p["user_info"], p["train"], str(d / "eval_feat.parquet"),
+                      libsvm_out=str(d / "eval_libsvm"))
+    result = jobs.evaluate_job(spark, str(d / "eval_libsvm"), str(d / "eval_out"), kinds=("lr", "nb"))
+    rows = {r.model: r for r in result.collect()}
+    assert set(rows) == {"lr", "nb"}
+    assert all(0.0 <= r.error_rate <= 1.0 and 0.0 <= r.score_auc <= 1.0 for r in rows.values())
+    assert spark.read.option("header", True).csv(str(d / "eval_out")).count() == 2
