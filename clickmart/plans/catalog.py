@@ -1,13 +1,12 @@
 """Named queries over the test tables: each takes (spark, sf_dir).
 
-Every query reads the generated parquet, the click log through the log
-table stored once per application from the three-table view
-(``fixtures.log_table``), and runs over the whole tables; parameters
-follow the original jobs (day
-``1111``, top 100, young = bands 1-3). Because the single day is sparse,
-the ranked reports are also registered for the whole of November
-(``*_month``) and for all days (``*_all``), so ranks depend on real
-counts.
+Every query reads the generated parquet (the click log through the table
+``fixtures.log_table`` stores once per application from the three-table
+view) and runs over the whole tables. Parameters follow the original
+jobs: day ``1111``, top 100, young = bands 1-3. Because the single day
+is sparse, the ranked reports are also registered for the whole of
+November (``*_month``) and for all days (``*_all``), so ranks depend on
+real counts.
 """
 
 from __future__ import annotations
