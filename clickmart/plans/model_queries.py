@@ -120,7 +120,8 @@ def _train_and_score(kind: str):
         model = models.train(data, kind)
         # scoring re-reads the staged files; the cache served the fit only
         data.unpersist()
-        return models.score(model, data)
+        scored = models.score(model, data)
+        return scored.withColumn("score", F.round("score", 9))
 
     return run
 

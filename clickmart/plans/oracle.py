@@ -7,6 +7,8 @@ pre-registered parquet views, always with both log joins.
 
 from __future__ import annotations
 
+from ..schemas import FEATURES
+
 BASE = """
 with user_log as (
   select cast(o_custkey as bigint) as user_id,
@@ -122,8 +124,7 @@ from ({_counts_raw(attr)}) where {pred}
 
 
 def _libsvm() -> str:
-    feats = ["age_range", "gender", "total_logs", "unique_item_ids", "categories", "browse_days",
-             "one_clicks", "shopping_carts", "purchase_times", "favor_times"]
+    feats = list(FEATURES)
     parts = " || ' ' || ".join(
         f"'{i + 1}:' || cast(cast({f} as double) as varchar)" for i, f in enumerate(feats)
     )
@@ -131,8 +132,7 @@ def _libsvm() -> str:
 
 
 def _normalized() -> str:
-    feats = ["age_range", "gender", "total_logs", "unique_item_ids", "categories", "browse_days",
-             "one_clicks", "shopping_carts", "purchase_times", "favor_times"]
+    feats = list(FEATURES)
     sq = " + ".join(f"cast({f} as double) * cast({f} as double)" for f in feats)
     cols = ", ".join(
         f"round(case when norm = 0 then 0.0 else cast({f} as double) / norm end, 6) as {f}"
@@ -142,8 +142,7 @@ def _normalized() -> str:
 
 
 def _nb_likelihoods() -> str:
-    feats = ["age_range", "gender", "total_logs", "unique_item_ids", "categories", "browse_days",
-             "one_clicks", "shopping_carts", "purchase_times", "favor_times"]
+    feats = list(FEATURES)
     unpivot = " union all ".join(
         f"select label, {i} as feature, cast({f} as double) as v from features_filled"
         for i, f in enumerate(feats)
@@ -155,6 +154,37 @@ from (select label, feature, sum(v) as s from ({unpivot}) group by label, featur
 """
 
 
+def _nb_predictions() -> str:
+    """Multinomial naive Bayes (smoothing 1) fitted and applied in SQL."""
+    feats = list(FEATURES)
+    sums = ", ".join(f"sum({f}) as s{i}" for i, f in enumerate(feats))
+    total = " + ".join(f"s{i}" for i in range(len(feats)))
+    thetas = ", ".join(
+        f"ln(s{i} + 1.0) - ln({total} + {len(feats)} * 1.0) as t{i}" for i in range(len(feats))
+    )
+
+    def score(alias: str) -> str:
+        dot = f"f.{feats[0]} * {alias}.t0"
+        for i, f in enumerate(feats[1:], start=1):
+            dot = f"({dot} + f.{f} * {alias}.t{i})"
+        return f"{dot} + {alias}.lp"
+
+    return f"""
+, nb_stats as (select label, count(*) as n, {sums} from features_filled group by label)
+, nb_params as (
+  select label, ln(n + 1.0) - ln(sum(n) over () + 2 * 1.0) as lp, {thetas} from nb_stats
+)
+select user_id, merchant_id, label,
+       case when sc1 > sc0 then 1.0 else 0.0 end as prediction,
+       round(1.0 / (1.0 + exp(sc0 - sc1)), 9) as score
+from (select f.user_id, f.merchant_id, cast(f.label as double) as label,
+             {score("p0")} as sc0, {score("p1")} as sc1
+      from features_filled f
+      join nb_params p0 on p0.label = 0
+      join nb_params p1 on p1.label = 1)
+"""
+
+
 SQL: dict[str, str] = {
     "filter_day_engaged": f"select * from user_log where {ENGAGED}",
     "filter_day_purchase": f"select * from user_log where {PURCHASE}",
@@ -273,5 +303,11 @@ from (select sum(case when label = 1 then 1.0 else 0.0 end) as pos,
 }
 
 
+# queries whose SQL continues the shared WITH list instead of starting a select
+CONTINUED = {"train_nb": _nb_predictions()}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: BASE + v for k, v in SQL.items()}
+    out = {k: BASE + v for k, v in SQL.items()}
+    out.update({k: BASE.rstrip() + "\n" + v for k, v in CONTINUED.items()})
+    return out
