@@ -111,3 +111,11 @@ def test_day_folder_layout_equals_the_view(spark):
 
 def test_layout_choice_follows_size(spark):
     assert fixtures.choose_layout(spark, MEDIUM) == "pair"
+
+
+def test_pair_label_equals_distinct_day_count(spark):
+    purchases = fixtures.log(spark, MEDIUM).where("action_type = 2")
+    by_count = purchases.groupBy("user_id", F.col("seller_id").alias("merchant_id")).agg(
+        (F.count_distinct("time_stamp") >= 2).cast("int").alias("label")
+    )
+    assert _rows(fixtures.train_pairs(spark, MEDIUM)) == _rows(by_count)
