@@ -65,3 +65,16 @@ def test_young_merchant_count_pre_aggregates_before_the_user_join(spark):
     join_at = o.index("Join Inner")
     # the (user, seller) count sits below the join, on the log side
     assert "Aggregate [user_id#" in o[join_at:] or "Aggregate [user_id" in o[join_at:]
+
+
+def test_pair_feature_shuffles_with_large_sides(spark):
+    # with no side small enough to broadcast, as at scale
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(Q["pair_features"](spark, MEDIUM))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # pairs 1, counts 1, distincts 2, profiles 1, pairs by user 1: the pair-keyed joins add none
+    assert p.count("Exchange hashpartitioning") == 6, p
+    assert "SinglePartition" not in p
