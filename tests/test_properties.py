@@ -101,3 +101,24 @@ def test_buyer_counts_equal_brute_force(spark, rs, us, mode, attr):
     users = spark.createDataFrame(us, USERS_SCHEMA)
     got = {r[attr]: r.buy_num for r in shares.buyer_counts(_df(spark, rs), users, attr, users_mode=mode).collect()}
     assert got == want
+
+
+@SETTINGS
+@given(counts=st.lists(st.integers(1, 10**7), min_size=1, max_size=8))
+def test_share_percent_text_is_correctly_rounded(spark, counts):
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from clickmart.functions import format_percent, percent_of_total
+
+    df = spark.createDataFrame(list(enumerate(counts)), "k int, buy_num long")
+    total = F.sum("buy_num").over(Window.partitionBy())
+    got = {r.k: r.percent for r in df.select("k", format_percent(percent_of_total("buy_num", total), 5).alias("percent")).collect()}
+    t = sum(counts)
+    want = {
+        k: f"{Decimal(n / t * 100.0).quantize(Decimal('0.00001'), rounding=ROUND_HALF_EVEN):,.5f}"
+        for k, n in enumerate(counts)
+    }
+    assert got == want
