@@ -107,6 +107,9 @@ def test_day_folder_layout_equals_the_view(spark):
     # a one-day filter prunes folders instead of reading them
     plan = by_day.where("time_stamp = '1111'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(time_stamp" in plan and "= 1111)" in plan
+    # the November forms prune by prefix
+    month = by_day.where("time_stamp like '11%'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(time_stamp" in month and "StartsWith(time_stamp" in month
 
 
 def test_layout_choice_follows_size(spark):
