@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from .decontamination import OP9_SQL, op9_decontaminate
+from .license_scan import OP10_SQL, op10_license_scan
 
 QUERIES = {
     "op9_decontaminate": op9_decontaminate,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL = {
     "op9_decontaminate": OP9_SQL,
+    "op10_license_scan": OP10_SQL,
 }
 
 
