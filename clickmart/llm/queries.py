@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from .decontamination import OP9_SQL, op9_decontaminate
 from .license_scan import OP10_SQL, op10_license_scan
+from .url_filter import op5_url_filter
 
 QUERIES = {
+    "op5_url_filter": op5_url_filter,
     "op9_decontaminate": op9_decontaminate,
     "op10_license_scan": op10_license_scan,
 }
