@@ -19,7 +19,7 @@ import numpy as np
 CACHE = 300_000
 
 # White space as the vocabulary's splitter knows it.
-_WS = "\t-\r \x85\xa0  -     　"
+_WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 
 
