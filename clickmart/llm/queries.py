@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from .chat_assembly import OP8_SQL, op8_chat_format
 from .decontamination import OP9_SQL, op9_decontaminate
+from .html_extraction import op7_html_extraction
+from .language_id import op4_language_id
 from .license_scan import OP10_SQL, op10_license_scan
 from .pattern_packing import op6_pattern_packing
 from .url_filter import op5_url_filter
 
 QUERIES = {
+    "op4_language_id": op4_language_id,
     "op5_url_filter": op5_url_filter,
     "op6_pattern_packing": op6_pattern_packing,
+    "op7_html_extraction": op7_html_extraction,
     "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_license_scan": op10_license_scan,
