@@ -7,10 +7,12 @@ from .decontamination import OP9_SQL, op9_decontaminate
 from .html_extraction import op7_html_extraction
 from .language_id import op4_language_id
 from .license_scan import OP10_SQL, op10_license_scan
+from .ngram_join import OP2_SQL, op2_ngram_join
 from .pattern_packing import op6_pattern_packing
 from .url_filter import op5_url_filter
 
 QUERIES = {
+    "op2_ngram_join": op2_ngram_join,
     "op4_language_id": op4_language_id,
     "op5_url_filter": op5_url_filter,
     "op6_pattern_packing": op6_pattern_packing,
@@ -21,6 +23,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_ngram_join": OP2_SQL,
     "op8_chat_format": OP8_SQL,
     "op9_decontaminate": OP9_SQL,
     "op10_license_scan": OP10_SQL,
