@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .cap_filters import OP1_SQL, op1_cap_filters
 from .chat_assembly import OP8_SQL, op8_chat_format
 from .decontamination import OP9_SQL, op9_decontaminate
 from .html_extraction import op7_html_extraction
@@ -12,6 +13,7 @@ from .pattern_packing import op6_pattern_packing
 from .url_filter import op5_url_filter
 
 QUERIES = {
+    "op1_cap_filters": op1_cap_filters,
     "op2_ngram_join": op2_ngram_join,
     "op4_language_id": op4_language_id,
     "op5_url_filter": op5_url_filter,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_cap_filters": OP1_SQL,
     "op2_ngram_join": OP2_SQL,
     "op8_chat_format": OP8_SQL,
     "op9_decontaminate": OP9_SQL,
