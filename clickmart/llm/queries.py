@@ -8,11 +8,13 @@ from .decontamination import OP9_SQL, op9_decontaminate
 from .html_extraction import op7_html_extraction
 from .language_id import op4_language_id
 from .license_scan import OP10_SQL, op10_license_scan
+from .line_dedup import op3_line_dedup
 from .ngram_join import OP2_SQL, op2_ngram_join
 from .pattern_packing import op6_pattern_packing
 from .url_filter import op5_url_filter
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
     "op1_cap_filters": op1_cap_filters,
     "op2_ngram_join": op2_ngram_join,
     "op4_language_id": op4_language_id,
