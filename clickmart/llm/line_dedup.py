@@ -349,18 +349,21 @@ def without_lines(text, removed):
     return F.array_join(F.transform(kept, lambda e: e["line"]), "\n")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without repeated lines; one that keeps no long line of those it had goes altogether."""
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bare_share: float = 0.8, **options
+) -> DataFrame:
+    """The documents without repeated lines; one that loses ``bare_share`` of its characters or more goes altogether."""
     marks = staged(repeated_lines(docs, id_col, text_col, **options).dropDuplicates(["doc", "key"]), "line-marks")
     marks = marks.where("size(removed) > 0").select(
         F.col("doc").alias("_m_doc"), F.col("key").alias("_m_key"), F.col("removed").alias("_m_removed"),
-        (F.size("removed") == F.col("n_long")).alias("_m_bare"),
+        F.col("removed_chars").alias("_m_chars"),
     )
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
     joined = whole.join(marks, [whole["doc"].eqNullSafe(marks["_m_doc"]), whole["key"] == marks["_m_key"]], "left")
     text = F.col(f"row.{text_col}")
     fresh = F.when(F.col("_m_removed").isNull(), text).otherwise(without_lines(text, F.col("_m_removed")))
-    return joined.where("not coalesce(_m_bare, false)").select(
+    rest = F.col("_m_chars").isNull() | (F.col("_m_chars") < bare_share * F.char_length(text))
+    return joined.where(rest).select(
         *[(fresh if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
     )
 
