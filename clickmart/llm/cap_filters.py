@@ -10,8 +10,8 @@ are verified by their cosine in double precision.
 
 The number of directions follows the number of vectors, so filters keep
 their size; alpha is solved so that a pair exactly at the threshold has
-``EXPECTED`` filters in common on average (it misses all of them with a
-probability of about exp(-EXPECTED)).
+``EXPECTED`` filters in common on average. In simulations of 64 dimensions
+0.2 to 0.5 % of such pairs share none; closer pairs share more.
 
 Equal vectors are one vertex with a multiplicity. A filter with more than
 ``CHUNK`` members is cut into chunks and each pair of chunks is a group of
@@ -43,7 +43,9 @@ from .components import connected_components
 
 THRESHOLD = 0.9
 #: Common filters that a pair at the threshold has on average.
-EXPECTED = 11.0
+EXPECTED = 14.0
+#: Independently rotated product codes that share the directions.
+CODES = 8
 #: Members of a filter that meet in one group.
 CHUNK = 1024
 #: Most codewords of a block; more directions take more blocks.
@@ -70,46 +72,59 @@ def _common(d: int, alpha: float, cosine: float) -> float:
 
 
 class CapCode:
-    """The product code for vectors of one length."""
+    """``CODES`` independently rotated product codes for vectors of one length.
+
+    One code treats all near copies of a vector alike, well or badly, by how
+    evenly it falls on the blocks; several even that out.
+    """
 
     def __init__(self, d: int, n_vectors: int, threshold: float, expected: float = EXPECTED):
         rng = np.random.Generator(np.random.PCG64([SEED, d]))
-        directions = max(256, n_vectors)
+        directions = max(64, n_vectors // CODES)
         self.blocks = min(d, max(1 if d < 8 else 2, math.ceil(math.log(directions) / math.log(CODEWORDS))))
-        size = math.ceil(directions ** (1 / self.blocks))
+        self.size = math.ceil(directions ** (1 / self.blocks))
+        self.per_code = self.size**self.blocks
         self.cuts = np.linspace(0, d, self.blocks + 1).round().astype(int)
-        self.rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
-        self.codewords = []
-        for a, b in zip(self.cuts, self.cuts[1:]):
-            c = rng.standard_normal((size, b - a))
-            self.codewords.append(c / np.linalg.norm(c, axis=1, keepdims=True))
-        total = size**self.blocks
+        self.codes = []
+        for _ in range(CODES):
+            words = [rng.standard_normal((self.size, b - a)) for a, b in zip(self.cuts, self.cuts[1:])]
+            words = [c / np.linalg.norm(c, axis=1, keepdims=True) for c in words]
+            self.codes.append((np.linalg.qr(rng.standard_normal((d, d)))[0], words))
         lo, hi = -1.0, 0.999
         for _ in range(40) if d > 1 else ():
             mid = (lo + hi) / 2
-            lo, hi = (mid, hi) if total * _common(d, mid, min(threshold, 1 - 1e-9)) >= expected else (lo, mid)
+            enough = CODES * self.per_code * _common(d, mid, min(threshold, 1 - 1e-9)) >= expected
+            lo, hi = (mid, hi) if enough else (lo, mid)
         self.alpha = lo if d > 1 else 0.0
-        self.size = size
 
-    def decode(self, unit: np.ndarray) -> list[np.ndarray]:
-        """Sorted ids of all directions exceeding alpha, per row of unit vectors."""
-        turned = unit @ self.rotation
-        scores = [turned[:, a:b] @ c.T for a, b, c in zip(self.cuts, self.cuts[1:], self.codewords)]
+    def _decode(self, unit: np.ndarray, rotation: np.ndarray, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(row, direction) of one code: blocks are added in turn, each as far down its sorted scores as can still do."""
+        turned = unit @ rotation
+        scores = [turned[:, a:b] @ c.T for a, b, c in zip(self.cuts, self.cuts[1:], words)]
         tops = np.array([s.max(axis=1) for s in scores])
-        # what the blocks behind may add at most
         behind = np.vstack([np.cumsum(tops[::-1], axis=0)[::-1][1:], np.zeros((1, len(unit)))])
         goal = self.alpha * math.sqrt(self.blocks)
-        out = []
-        for i in range(len(unit)):
-            ids, sums = np.zeros(1, np.int64), np.zeros(1)
-            for s, rest in zip(scores, behind[:, i]):
-                row = s[i]
-                order = np.flatnonzero(row >= goal - rest - sums.max(initial=-9.0))
-                grid = sums[:, None] + row[order][None, :]
-                p, c = np.nonzero(grid >= goal - rest)
-                ids, sums = ids[p] * self.size + order[c], grid[p, c]
-            out.append(np.sort(ids))
-        return out
+        row, ids, sums = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
+        for s, rest in zip(scores, behind):
+            order = np.argsort(s, axis=1)
+            ranked = np.take_along_axis(s, order, axis=1)
+            # scores are within -1 and 1, so rows 10 apart make one sorted line
+            line = (ranked + 10.0 * np.arange(len(unit))[:, None]).ravel()
+            first = np.searchsorted(line, goal - rest[row] - sums + 10.0 * row)
+            first = np.clip(first, row * self.size, (row + 1) * self.size)
+            n = (row + 1) * self.size - first
+            take = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            row, ids, sums = (np.repeat(x, n) for x in (row, ids, sums))
+            ids = ids * self.size + order.ravel()[take]
+            sums = sums + ranked.ravel()[take]
+        return row, ids
+
+    def decode(self, unit: np.ndarray) -> list[np.ndarray]:
+        """Sorted ids of all directions exceeding alpha, per row of unit vectors."""
+        found = [(r, ids + k * self.per_code) for k, code in enumerate(self.codes) for r, ids in [self._decode(unit, *code)]]
+        row, ids = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((ids, row))
+        return np.split(ids[order], np.cumsum(np.bincount(row, minlength=len(unit)))[:-1])
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
