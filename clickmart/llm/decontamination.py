@@ -139,7 +139,7 @@ def _places(docs: DataFrame, sizes: list[int], cells, window: int) -> DataFrame:
                 h, row, _, _ = hashed_words(data, offsets, ALNUM)
                 count = np.bincount(row, minlength=hi - lo)
                 first = np.cumsum(count) - count
-                at, gram = [], []
+                at, gram = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
                 for k in sizes:
                     a, g = _grams(h, row, k)
                     hit = in_bitmap(cells.value, g)

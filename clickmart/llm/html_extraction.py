@@ -3,9 +3,9 @@
 A page is cut into blocks at block-level tags. Pass one decides a block
 from itself: blocks of menus, page headers and footers, sidebars, notices,
 adverts, forms and reader comments (by element, role, class or id) and
-link-heavy blocks are out; long blocks with many stop words are in; short
-ones, and ones with few stop words inside the marked article, are left
-open. Pass two gives each open block the label of its nearest decided
+link-heavy blocks are out; blocks with many stop words, and long ones with
+some, are in; short ones, and ones with few stop words inside the marked
+article, are left open. Pass two gives each open block the label of its nearest decided
 neighbour in the same region (the marked article, or the page without
 one); an open block without any stays in.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 
-#: Characters below which a block is too short to decide, and from which stop words alone decide.
+#: Characters below which a block is too short to decide, and above which few stop words suffice.
 SHORT, LONG = 70, 200
 #: Shares of stop words among the words, and of link text among the characters.
 STOP_HIGH, STOP_LOW, LINKS = 0.30, 0.15, 0.5
@@ -197,7 +197,7 @@ def label(blocks: list[Block]) -> None:
         if len(b.text) < SHORT:
             if b.links and not marked:
                 b.kept = False
-        elif density >= STOP_HIGH and len(b.text) > LONG or density >= STOP_HIGH and marked:
+        elif density >= STOP_HIGH or (density >= STOP_LOW and len(b.text) > LONG):
             b.kept = True
         elif density < STOP_LOW and not marked:
             b.kept = False
