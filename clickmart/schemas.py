@@ -77,3 +77,6 @@ USERS_COLUMNS = tuple(f.name for f in USERS_SCHEMA.fields)
 def all_string(schema: T.StructType) -> T.StructType:
     """Same field names, every field a string (raw CSV read before casts)."""
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+# names of the temp views that the SQL forms read
+LOG_VIEW, USERS_VIEW = "clickmart_user_log", "clickmart_user_info"

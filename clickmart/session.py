@@ -7,14 +7,14 @@ partition sizing) and resolves where staged tables may be written.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the package relies on. AQE re-plans joins from runtime sizes
-# (so a broadcast only happens behind Spark's own measured-size check),
-# splits skewed join partitions and coalesces small shuffle outputs.
+# Settings the package relies on. AQE re-plans joins from runtime sizes,
+# splits skewed join partitions and coalesces small shuffle outputs. A side
+# is broadcast only below Spark's thresholds: on file-size estimates when
+# planning, on measured shuffle sizes when AQE plans again.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -63,12 +63,6 @@ def _context(spark: SparkSession):
         return None
 
 
-def _is_local(spark: SparkSession) -> bool:
-    sc = _context(spark)
-    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-    return str(master).startswith("local")
-
-
 def app_id(spark: SparkSession) -> str:
     sc = _context(spark)
     if sc is not None:
@@ -79,29 +73,47 @@ def app_id(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, under ``spark.checkpoint.dir``.
 
-    The cluster names the shared folder; we only read it. A private folder
-    is created only for a local session that has none (tests), never on a
-    cluster, where a machine-local folder would not survive executor loss.
+    The cluster names the shared folder; it is only read here. A session
+    that names none keeps its staged tables beside its tables, in
+    ``spark.sql.warehouse.dir``, which executors share as well.
     """
     sc = _context(spark)
-    base = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    base = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if not base:
-        if not _is_local(spark) or sc is None:
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; a shared folder is needed "
-                "for staged tables on a cluster"
-            )
-        base = tempfile.mkdtemp(prefix="clickmart-ckpt-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir()
-    path = base.rstrip("/")
-    for p in parts:
-        path = f"{path}/{p}"
-    return path
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
+    return "/".join([base.rstrip("/"), *parts])
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder under the shared staging area."""
-    return shared_dir(spark, "clickmart", f"{label}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder under the shared staging area.
+
+    The application's staging folder goes when its JVM ends (or by
+    ``release``).
+    """
+    app = shared_dir(spark, "clickmart", app_id(spark))
+    if _context(spark) is not None:
+        fs, path = _hadoop(spark, app)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{app}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def release(spark: SparkSession, path: str | None = None) -> None:
+    """Delete one staged folder, or all of the application."""
+    fs, at = _hadoop(spark, path or shared_dir(spark, "clickmart", app_id(spark)))
+    fs.delete(at, True)
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
+    """Size, file count and modification time of each path: changes when its files do."""
+    out = []
+    for p in paths:
+        fs, path = _hadoop(spark, p)
+        summary = fs.getContentSummary(path)
+        out.append((p, summary.getLength(), summary.getFileCount(), fs.getFileStatus(path).getModificationTime()))
+    return tuple(out)

@@ -8,26 +8,20 @@ customer table with some ages and genders missing. ``pairs`` are the
 (user, seller) pairs with a purchase, labelled 1 when the purchases fall
 on two or more days.
 
-Join elimination: the lineitem keys are foreign keys (every l_orderkey is
-an order, every l_partkey a part), so a join adds no row and loses none.
-``user_log`` therefore joins ``orders`` only when ``user_id`` is asked for
-and ``part`` only when ``cat_id`` / ``brand_id`` are. At scale this drops a
-lineitem-sized shuffle from every query that ranks items or sellers.
-Pass ``strict=True`` to always run both joins (the test suite checks both
-forms give the same rows).
-
-``log_table`` goes one step further and stores the whole log once per
-session in the shared staging folder; later queries read only the
-columns they use and never repeat the three-table join. The layout
-depends on the size: day folders (exact pruning for one-day reports)
-once a day holds millions of rows, pair-clustered files below that (see
-``write_log_table``). This is how the log would be kept in production (a
-stored fact table); the view is only a device of the generated data.
+Both joins always run, whatever columns are asked for, so the rows never
+depend on the projection.
+
+``log_table`` stores the whole log once per application and state of the
+input files in the shared staging folder; later queries read only the
+columns they use and never repeat the three-table join. It has one
+layout at every size: a folder per day code, which the one-day and
+November reports prune exactly, each file sorted by (user, seller). This
+is how the log would be kept in production (a stored fact table); the
+view is only a device of the generated data.
 """
 
 from __future__ import annotations
 
-import os
 import threading
 from collections.abc import Iterable
 
@@ -36,11 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import day_code
-from ..schemas import ACTION_FAVOURITE, ACTION_PURCHASE, LOG_COLUMNS, LOG_SCHEMA
-from ..session import app_id, fresh_dir
+from ..schemas import ACTION_FAVOURITE, ACTION_PURCHASE, LOG_COLUMNS, LOG_SCHEMA, LOG_VIEW, USERS_VIEW
+from ..session import app_id, fingerprint, fresh_dir
 
-_ORDER_COLS = {"user_id"}
-_PART_COLS = {"cat_id", "brand_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,19 +49,12 @@ def _action(returnflag: Column, linestatus: Column) -> Column:
     )
 
 
-def user_log(
-    spark: SparkSession,
-    sf_dir: str,
-    columns: Iterable[str] | None = None,
-    strict: bool = False,
-) -> DataFrame:
+def user_log(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
     """The log view with only ``columns`` (all seven by default)."""
     cols = tuple(columns) if columns is not None else LOG_COLUMNS
     unknown = set(cols) - set(LOG_COLUMNS)
     if unknown:
         raise ValueError(f"unknown log columns: {sorted(unknown)}")
-    need_orders = strict or bool(_ORDER_COLS & set(cols))
-    need_part = strict or bool(_PART_COLS & set(cols))
 
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus"
@@ -78,17 +63,9 @@ def user_log(
     if isinstance(li.schema["l_shipdate"].dataType, T.TimestampType):
         # read as an instant: take its UTC wall clock, whatever the session zone
         ship = F.to_utc_timestamp(ship, spark.conf.get("spark.sql.session.timeZone"))
-    df = li
-    if need_orders:
-        orders = table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_custkey"
-        )
-        df = df.join(orders, "l_orderkey")
-    if need_part:
-        part = table(spark, sf_dir, "part").select(
-            F.col("p_partkey").alias("l_partkey"), "p_size", "p_brand"
-        )
-        df = df.join(part, "l_partkey")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_brand")
+    df = li.join(orders, "l_orderkey").join(part, "l_partkey")
 
     exprs = {
         "user_id": lambda: F.col("o_custkey").cast("bigint"),
@@ -102,81 +79,43 @@ def user_log(
     return df.select(*[exprs[c]().alias(c) for c in cols])
 
 
-# Fixed layout parameters of the stored log.
-# row groups: several per file, so a day filter can skip most of a file
-ROW_GROUP_BYTES = 16 * 1024 * 1024
-# rows per day from which the log is split into one folder per day code
-DAY_FOLDER_MIN_ROWS = 2_000_000
-DAYS_PER_YEAR = 366
-
-_LOG_TABLES: dict[tuple[str, str], str] = {}
+_SOURCES = ("lineitem", "orders", "part")
+_LOG_TABLES: dict[tuple, str] = {}
 _LOCK = threading.Lock()
 
 
-def choose_layout(spark: SparkSession, sf_dir: str) -> str:
-    """``day`` when each day folder would hold enough rows, else ``pair``.
-
-    Counting lineitem reads only parquet footers. Day folders give exact
-    partition pruning to the one-day reports, but below a few million
-    rows per day they are just many small files.
-    """
-    rows = table(spark, sf_dir, "lineitem").count()
-    return "day" if rows / DAYS_PER_YEAR >= DAY_FOLDER_MIN_ROWS else "pair"
+def source_state(spark: SparkSession, sf_dir: str, names: Iterable[str] = _SOURCES) -> tuple:
+    """Identifies the application and the files a stored table was made from."""
+    return (app_id(spark), *fingerprint(spark, [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]))
 
 
-def write_log_table(spark: SparkSession, sf_dir: str, layout: str) -> str:
+def write_log_table(spark: SparkSession, sf_dir: str) -> str:
     """Write the full log view once; returns the folder.
 
-    ``pair``: rebalanced on (user, seller), so all rows of an ordinary
-    pair share a file (pair-keyed aggregates collapse them map-side) and
-    AQE splits a hot pair over several files; each file sorted by day
-    with small row groups for day filters.
-    ``day``: one folder per day code (partition pruning for the one-day
-    reports), rebalanced on the day so AQE cuts a big day into evenly
-    sized files; each file sorted by (user, seller).
+    Rebalanced on the day, so AQE cuts a big day into evenly sized files.
     """
-    path = fresh_dir(spark, f"user-log-{layout}")
-    view = user_log(spark, sf_dir, strict=True)
-    if layout == "pair":
-        (
-            view.hint("rebalance", "user_id", "seller_id")
-            .sortWithinPartitions("time_stamp", "user_id", "seller_id")
-            .write.option("parquet.block.size", ROW_GROUP_BYTES)
-            .parquet(path)
-        )
-    elif layout == "day":
-        (
-            view.hint("rebalance", "time_stamp")
-            .sortWithinPartitions("time_stamp", "user_id", "seller_id")
-            .write.partitionBy("time_stamp")
-            .parquet(path)
-        )
-    else:
-        raise ValueError(f"layout must be 'pair' or 'day', got {layout!r}")
+    path = fresh_dir(spark, "user-log")
+    (
+        user_log(spark, sf_dir)
+        .hint("rebalance", "time_stamp")
+        .sortWithinPartitions("time_stamp", "user_id", "seller_id")
+        .write.partitionBy("time_stamp")
+        .parquet(path)
+    )
     return path
 
 
-def log_table(
-    spark: SparkSession,
-    sf_dir: str,
-    refresh: bool = False,
-    layout: str | None = None,
-    remember: bool | None = None,
-) -> DataFrame:
-    """The full log, written once per application and ``sf_dir``, read back.
+def log_table(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
+    """The full log, written once per application and state of its files, read back.
 
     The folder is remembered, not the DataFrame, so each caller reads it
-    through its own session. A forced ``layout`` is not remembered unless
-    ``remember=True`` (then later queries on ``sf_dir`` use it).
+    through its own session.
     """
-    key = (app_id(spark), os.path.abspath(sf_dir))
-    remember = (layout is None) if remember is None else remember
+    key = source_state(spark, sf_dir)
     with _LOCK:
-        path = None if (refresh or layout) else _LOG_TABLES.get(key)
+        path = None if refresh else _LOG_TABLES.get(key)
         if path is None:
-            path = write_log_table(spark, sf_dir, layout or choose_layout(spark, sf_dir))
-            if remember:
-                _LOG_TABLES[key] = path
+            path = _LOG_TABLES[key] = write_log_table(spark, sf_dir)
     # the schema keeps day codes as text (partition inference would read 0511 as 511)
     return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
 
@@ -235,7 +174,7 @@ def scoring_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register ``user_log`` and ``user_info`` for the SQL forms."""
-    log(spark, sf_dir).createOrReplaceTempView("user_log")
-    user_info(spark, sf_dir).createOrReplaceTempView("user_info")
+def register_views(log: DataFrame, users: DataFrame) -> None:
+    """Register the SQL forms' views (A8) under names of the package's own."""
+    log.createOrReplaceTempView(LOG_VIEW)
+    users.createOrReplaceTempView(USERS_VIEW)

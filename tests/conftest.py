@@ -11,14 +11,17 @@ MEDIUM = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from clickmart.session import build_session
 
     s = build_session(
         "local[4]",
         app_name="clickmart-tests",
         shuffle_partitions=8,
-        extra={"spark.ui.showConsoleProgress": "false"},
+        extra={
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
+        },
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -14,12 +14,12 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_join_elimination_keeps_every_row(spark):
+def test_rows_do_not_depend_on_the_projection(spark):
     cols = ["item_id", "seller_id", "time_stamp", "action_type"]
-    lean = fixtures.user_log(spark, MEDIUM, cols)
-    strict = fixtures.user_log(spark, MEDIUM, cols, strict=True)
-    assert lean.count() == strict.count() == 60000
-    assert lean.exceptAll(strict).count() == 0
+    few = fixtures.user_log(spark, MEDIUM, cols)
+    every = fixtures.user_log(spark, MEDIUM).select(*cols)
+    assert few.count() == every.count() == 60000
+    assert few.exceptAll(every).count() == 0
 
 
 def test_sql_share_equals_dataframe_share(spark):
@@ -99,11 +99,9 @@ def test_stored_log_equals_the_view(spark):
     assert fixtures.log_table(spark, SMALL).inputFiles() == fixtures.log_table(spark, SMALL).inputFiles()
 
 
-def test_day_folder_layout_equals_the_view(spark):
-    by_day = fixtures.log_table(spark, SMALL, layout="day")
-    view = fixtures.user_log(spark, SMALL)
+def test_day_folders_prune(spark):
+    by_day = fixtures.log_table(spark, SMALL)
     assert by_day.schema["time_stamp"].dataType.simpleString() == "string"
-    assert by_day.exceptAll(view).count() == 0 and view.exceptAll(by_day).count() == 0
     # a one-day filter prunes folders instead of reading them
     plan = by_day.where("time_stamp = '1111'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(time_stamp" in plan and "= 1111)" in plan
@@ -112,8 +110,12 @@ def test_day_folder_layout_equals_the_view(spark):
     assert "PartitionFilters: [isnotnull(time_stamp" in month and "StartsWith(time_stamp" in month
 
 
-def test_layout_choice_follows_size(spark):
-    assert fixtures.choose_layout(spark, MEDIUM) == "pair"
+def test_log_is_stored_again_when_its_files_change(spark, tmp_path):
+    for t in ("lineitem", "orders", "part", "customer"):
+        spark.read.parquet(f"{SMALL}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    before = fixtures.log(spark, str(tmp_path)).count()
+    spark.read.parquet(f"{SMALL}/lineitem.parquet").limit(10).write.mode("append").parquet(str(tmp_path / "lineitem.parquet"))
+    assert fixtures.log(spark, str(tmp_path)).count() == before + 10
 
 
 def test_pair_label_equals_distinct_day_count(spark):

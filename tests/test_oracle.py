@@ -46,16 +46,3 @@ def test_entry_smoke(spark):
     assert df.columns == ["rank", "seller_id", "n"]
     assert len(rows) > 0
     assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
-
-
-def test_queries_on_the_day_folder_layout(spark, duck_small):
-    from clickmart.sources import fixtures
-
-    fixtures.log_table(spark, SMALL, layout="day", remember=True)
-    try:
-        for name in ("filter_day_engaged", "top_items", "top_items_month", "top_merchants_all",
-                     "age_share", "sql_gender_share", "pair_features", "scoring_features", "split_fields"):
-            problems, _, _ = compare(spark, duck_small, name, QUERIES[name], SQL[name], SMALL)
-            assert not problems, (name, problems)
-    finally:
-        fixtures.log_table(spark, SMALL, refresh=True)
