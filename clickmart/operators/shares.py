@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import format_percent, format_percent_sign, percent_of_total
-from ..schemas import DEFAULT_DAY, VALID_AGE_BANDS, VALID_GENDERS
+from ..schemas import DEFAULT_DAY, LOG_VIEW, USERS_VIEW, VALID_AGE_BANDS, VALID_GENDERS
 from . import filters
 
 VALID = {"age_range": VALID_AGE_BANDS, "gender": VALID_GENDERS}
@@ -75,11 +75,13 @@ def share_report(raw_counts: DataFrame, attr: str, valid: Sequence[int] | None =
     )
 
 
+# The day's purchases are reduced to distinct buyers before the join, so a
+# user with a third of all rows is one row per task in the shuffle.
 SHARE_SQL = """
-SELECT ui.{attr} AS {attr}, COUNT(DISTINCT ul.user_id) AS buy_num
-FROM user_log AS ul
-LEFT OUTER JOIN user_info AS ui USING (user_id)
-WHERE ul.action_type = 2 AND ul.time_stamp = '{day}' AND {predicate}
+SELECT ui.{attr} AS {attr}, COUNT(DISTINCT b.user_id) AS buy_num
+FROM (SELECT DISTINCT user_id FROM {log} WHERE action_type = 2 AND time_stamp = :day) AS b
+LEFT OUTER JOIN {users} AS ui USING (user_id)
+WHERE {predicate}
 GROUP BY ui.{attr}
 """
 
@@ -89,11 +91,12 @@ PREDICATES = {
 }
 
 
-def sql_share(spark: SparkSession, attr: str, day: str = DEFAULT_DAY) -> DataFrame:
-    """The SQL form over the registered ``user_log`` / ``user_info`` views.
+def sql_share(spark: SparkSession, attr: str, day: str = DEFAULT_DAY, log: str = LOG_VIEW, users: str = USERS_VIEW) -> DataFrame:
+    """The SQL form over the registered views of the log and the profiles.
 
     The left join is made inner by the WHERE on a profile column; Catalyst
     rewrites it so (EliminateOuterJoin) and pushes both filters down.
     """
-    counts = spark.sql(SHARE_SQL.format(attr=attr, day=day, predicate=PREDICATES[attr]))
+    text = SHARE_SQL.format(attr=attr, log=log, users=users, predicate=PREDICATES[attr])
+    counts = spark.sql(text, args={"day": day})
     return counts.withColumn("percent", format_percent(percent_of_total("buy_num", _total()), 5))
