@@ -1,7 +1,7 @@
 """clickmart: shopping-behaviour analytics on Spark DataFrames.
 
-Ranked top-k reports, distinct-buyer shares, a single-pass (user,
-merchant) feature table and Spark ML repeat-buyer models over an
+Ranked top-k reports, distinct-buyer shares, a (user, merchant)
+feature table and Spark ML repeat-buyer models over an
 e-commerce click log.
 """
 

@@ -2,12 +2,12 @@
 
 The original job ran five grouped passes over the log (one per feature
 family, the distinct counts as two-stage group-bys) and joined the five
-results. Here the log is grouped by (user, seller) twice: once for the
-row count and the four conditional counts, once for the three null-aware
-distinct counts. Spark partially aggregates before each shuffle, so a
-hot seller or user is reduced on the map side. The pair table is joined
-to those aggregates on the same two keys (all sides are already
-hash-partitioned on them) and to the profiles on ``user_id``.
+results. Here the log is read and grouped once, by (user, seller, item,
+category, day), with the row count and the conditional counts: all of it
+combined before the shuffle, and a hot pair stays spread over tasks. Counts
+and null-aware distinct counts per pair are then taken from that one
+result. The pair table is joined to it on the same two keys and to the
+profiles on ``user_id``.
 """
 
 from __future__ import annotations
@@ -67,31 +67,31 @@ def action_measures() -> list[F.Column]:
     ]
 
 
+def clicks() -> F.Column:
+    """The real click count beside the inverted ``one_clicks``."""
+    return count_where(F.col("action_type") == ACTION_CLICK).alias("clicks")
+
+
 def action_features(log: DataFrame) -> DataFrame:
-    """The four action counts per (user, merchant) in one pass."""
+    """The four action counts and the real clicks per (user, merchant) in one pass."""
     return log.groupBy("user_id", F.col("seller_id").alias("merchant_id")).agg(
-        *action_measures()
+        *action_measures(), clicks()
     )
 
 
 def log_aggregate(log: DataFrame) -> DataFrame:
-    """All eight log features per (user, merchant).
-
-    Two aggregates over one log, joined on the pair key: the plain and
-    conditional counts, and the three distinct counts. Both come out
-    hash-partitioned on (user, merchant), so the join adds no shuffle.
-    Kept apart because mixing plain aggregates into a multi-distinct
-    aggregate makes Spark carry them through its expansion of every row
-    (three times slower on the sf0.1 log).
-    """
+    """All eight log features per (user, merchant), from one read of the log."""
+    measures = ["total_logs", "one_clicks", "shopping_carts", "purchase_times", "favor_times"]
     keys = ["user_id", F.col("seller_id").alias("merchant_id")]
-    counts = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_logs"), *action_measures())
-    distincts = log.groupBy(*keys).agg(
+    combined = log.groupBy(*keys, "item_id", "cat_id", "time_stamp").agg(
+        F.count(F.lit(1)).alias("total_logs"), *action_measures()
+    )
+    return combined.groupBy(*PAIR_KEYS).agg(
+        *[F.sum(m).alias(m) for m in measures],
         count_distinct_with_null("item_id").alias("unique_item_ids"),
         count_distinct_with_null("cat_id").alias("categories"),
         count_distinct_with_null("time_stamp").alias("browse_days"),
-    )
-    return counts.join(distincts, list(PAIR_KEYS)).select(*PAIR_KEYS, *LOG_FEATURES)
+    ).select(*PAIR_KEYS, *LOG_FEATURES)
 
 
 def pair_features(pairs: DataFrame, log: DataFrame, users: DataFrame) -> DataFrame:
