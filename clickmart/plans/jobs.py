@@ -1,9 +1,10 @@
 """End-to-end jobs over stored inputs: read, compute, write.
 
 The same work as the original batch jobs, driven by paths instead of the
-test-table views: the click log and the profiles as CSV (or Parquet),
-the pair files, LibSVM feature files and saved models. Each job returns
-the DataFrame it wrote, so callers can inspect or reuse it.
+test-table views: the click log and the profiles as CSV or Parquet (said
+by ``fmt``, never guessed from a path), the pair files, LibSVM feature
+files and saved models. Each job returns what it wrote, read back, so
+nothing is computed twice.
 """
 
 from __future__ import annotations
@@ -12,51 +13,57 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..ml import models
 from ..operators import features, ranking, shares
-from ..schemas import DEFAULT_DAY, TOP_K
-from ..sinks import write, write_libsvm, write_lines, write_submission
-from ..sources import read_libsvm, read_log, read_pairs, read_table, read_users
+from ..schemas import DEFAULT_DAY, LOG_SCHEMA, PAIRS_SCHEMA, TOP_K, USERS_SCHEMA
+from ..sinks import stage, write, write_libsvm, write_lines, write_submission
+from ..sources import read_csv, read_libsvm, read_lines, read_log, read_pairs, read_table, read_users, register_views, require_unique
 
 
-def _read(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    if path.endswith(".parquet"):
-        return read_table(spark, path)
-    return {"log": read_log, "users": read_users}[kind](spark, path)
+_SCHEMAS = {"log": LOG_SCHEMA, "users": USERS_SCHEMA, "train": PAIRS_SCHEMA}
+
+
+def _read(spark: SparkSession, path: str, kind: str, fmt: str) -> DataFrame:
+    """A log or the profiles, which must have one row per user."""
+    if fmt == "csv":
+        df = {"log": read_log, "users": read_users}[kind](spark, path)
+    elif fmt == "parquet":
+        df = read_table(spark, path, [f.name for f in _SCHEMAS[kind].fields])
+    else:
+        raise ValueError(f"fmt must be 'csv' or 'parquet', got {fmt!r}")
+    return require_unique(df, "user_id") if kind == "users" else df
 
 
 def top_items_job(
     spark: SparkSession, log_path: str, out: str, day: str | None = DEFAULT_DAY,
-    k: int = TOP_K, report: bool = False, mode: str = "errorifexists",
+    k: int = TOP_K, report: bool = False, mode: str = "errorifexists", fmt: str = "csv",
 ) -> DataFrame:
     """Q1: top-k items on ``day``; ``report`` writes ``rank: id, count`` lines."""
-    top = ranking.top_items(_read(spark, log_path, "log"), day, k)
+    top = ranking.top_items(_read(spark, log_path, "log", fmt), day, k)
     if report:
-        lines = ranking.rank_report(top, "item_id")
-        write_lines(lines.orderBy("rank"), out, mode=mode)
-        return lines
+        write_lines(ranking.rank_report(top, "item_id").orderBy("rank"), out, mode=mode)
+        return read_lines(spark, out)
     write(top.orderBy("rank"), out, fmt="csv", mode=mode)
-    return top
+    return read_csv(spark, out, top.schema)
 
 
 def top_merchants_job(
     spark: SparkSession, log_path: str, users_path: str, out: str,
     day: str | None = DEFAULT_DAY, k: int = TOP_K, users_mode: str = "all",
-    report: bool = False, mode: str = "errorifexists",
+    report: bool = False, mode: str = "errorifexists", fmt: str = "csv",
 ) -> DataFrame:
     """Q2: top-k sellers among young buyers on ``day``."""
     top = ranking.top_merchants(
-        _read(spark, log_path, "log"), _read(spark, users_path, "users"), day, k, users_mode
+        _read(spark, log_path, "log", fmt), _read(spark, users_path, "users", fmt), day, k, users_mode
     )
     if report:
-        lines = ranking.rank_report(top, "seller_id")
-        write_lines(lines.orderBy("rank"), out, mode=mode)
-        return lines
+        write_lines(ranking.rank_report(top, "seller_id").orderBy("rank"), out, mode=mode)
+        return read_lines(spark, out)
     write(top.orderBy("rank"), out, fmt="csv", mode=mode)
-    return top
+    return read_csv(spark, out, top.schema)
 
 
 def share_job(
     spark: SparkSession, log_path: str, users_path: str, out: str, attr: str = "age_range",
-    form: str = "sql", day: str = DEFAULT_DAY, mode: str = "errorifexists",
+    form: str = "sql", day: str = DEFAULT_DAY, mode: str = "errorifexists", fmt: str = "csv",
 ) -> DataFrame:
     """Q3-Q6: buyer counts / shares by ``attr``.
 
@@ -64,10 +71,9 @@ def share_job(
     (same result), ``raw`` (every group, RDD-job profiles) or ``report``
     (valid groups of the raw counts with ``12.3%`` text).
     """
-    log, users = _read(spark, log_path, "log"), _read(spark, users_path, "users")
+    log, users = _read(spark, log_path, "log", fmt), _read(spark, users_path, "users", fmt)
     if form == "sql":
-        log.createOrReplaceTempView("user_log")
-        users.createOrReplaceTempView("user_info")
+        register_views(log, users)
         result = shares.sql_share(spark, attr, day)
     elif form == "dataframe":
         result = shares.share(log, users, attr, day)
@@ -78,48 +84,52 @@ def share_job(
     else:
         raise ValueError(f"unknown form {form!r}")
     write(result, out, fmt="csv", mode=mode)
-    return result
+    return read_csv(spark, out, result.schema)
 
 
 def features_job(
     spark: SparkSession, log_path: str, users_path: str, pairs_path: str, out: str,
-    labelled: bool = True, libsvm_out: str | None = None, mode: str = "errorifexists",
+    labelled: bool = True, libsvm_out: str | None = None, mode: str = "errorifexists", fmt: str = "csv",
 ) -> DataFrame:
     """Q7/Q8: the pair feature table (NULLs filled with 0) as Parquet.
 
     ``libsvm_out`` also writes (label, features) as LibSVM text, with
     label 0 for unlabelled pairs, as the original scoring input had.
     """
-    pairs = read_pairs(spark, pairs_path, labelled) if not pairs_path.endswith(".parquet") else read_table(spark, pairs_path)
+    names = [f.name for f in PAIRS_SCHEMA.fields][: None if labelled else 2]
+    pairs = read_pairs(spark, pairs_path, labelled) if fmt == "csv" else read_table(spark, pairs_path, names)
     table = features.fill_features(
-        features.pair_features(pairs, _read(spark, log_path, "log"), _read(spark, users_path, "users"))
+        features.pair_features(pairs, _read(spark, log_path, "log", fmt), _read(spark, users_path, "users", fmt))
     )
     write(table, out, mode=mode)
+    table = read_table(spark, out)
     if libsvm_out:
         write_libsvm(features.assemble(table, label="label" if labelled else None), libsvm_out, mode=mode)
     return table
 
 
-def _training_input(spark: SparkSession, path: str, num_features: int = 10) -> DataFrame:
-    if path.endswith(".parquet"):
+def _training_input(spark: SparkSession, path: str, fmt: str, num_features: int = 10) -> DataFrame:
+    if fmt == "parquet":
         return features.assemble(read_table(spark, path))
-    return read_libsvm(spark, path, num_features)
+    if fmt == "libsvm":
+        return read_libsvm(spark, path, num_features)
+    raise ValueError(f"fmt must be 'parquet' or 'libsvm', got {fmt!r}")
 
 
 def evaluate_job(
     spark: SparkSession, train_path: str, out: str | None = None,
-    kinds: tuple[str, ...] = models.KINDS, mode: str = "errorifexists",
+    kinds: tuple[str, ...] = models.KINDS, mode: str = "errorifexists", fmt: str = "libsvm",
 ) -> DataFrame:
     """Q9: 60/40 split, train each model, hold-out metrics per model."""
-    result = models.evaluate_all(_training_input(spark, train_path), kinds=kinds)
+    result = models.evaluate_all(_training_input(spark, train_path, fmt), kinds=kinds)
     if out:
         write(result, out, fmt="csv", mode=mode)
     return result
 
 
-def train_save_job(spark: SparkSession, train_path: str, models_dir: str) -> DataFrame:
+def train_save_job(spark: SparkSession, train_path: str, models_dir: str, fmt: str = "libsvm") -> DataFrame:
     """Q10: train every model on all rows and save it under ``models_dir``."""
-    return models.train_all(_training_input(spark, train_path), models_dir)
+    return models.train_all(_training_input(spark, train_path, fmt), models_dir)
 
 
 def score_job(
@@ -129,7 +139,7 @@ def score_job(
     """Q11: score unlabelled pairs with saved models, one submission per model."""
     table = read_table(spark, features_path)
     assembled = features.assemble(table, label=None)
-    scored = models.score_to_submission(model_paths, assembled, hard)
+    scored = stage(models.score_to_submission(model_paths, assembled, hard), spark, "scored")
     for kind in model_paths:
         write_submission(
             scored.where(scored.model == kind), f"{out_dir}/{kind}", single_file=single_file, mode=mode

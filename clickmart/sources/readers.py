@@ -1,8 +1,9 @@
 """Typed readers for the delimited inputs, LibSVM files and raw text lines.
 
-All CSV inputs are read with a fixed all-string schema (no inference
-pass) and cast with ``try_cast`` so a malformed number becomes NULL
-instead of failing the job under ANSI mode.
+CSV columns are found by their header names, whatever their order; a file
+without a declared column is an error. Values are read as text and cast:
+by default a malformed number becomes NULL instead of failing the job
+under ANSI mode; ``strict=True`` fails instead, and ``bad_values`` counts.
 """
 
 from __future__ import annotations
@@ -25,31 +26,56 @@ def _paths(p: PathLike) -> list[str]:
     return list(p)
 
 
-def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast string columns to ``schema``; bad values become NULL (T5)."""
+def typed(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+    """Cast string columns to ``schema``; bad values become NULL (T5), or an error if strict."""
     out = []
     for f in schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.StringType):
             out.append(c.alias(f.name))
         else:
-            out.append(F.trim(c).try_cast(f.dataType).alias(f.name))
+            value = F.trim(c).try_cast(f.dataType)
+            if strict:
+                wrong = F.raise_error(F.concat(F.lit(f"{f.name}: not a {f.dataType.simpleString()}: "), c))
+                value = F.when(c.isNotNull() & value.isNull(), wrong).otherwise(value)
+            out.append(value.alias(f.name))
     return df.select(*out)
 
 
+def _csv_text(spark: SparkSession, paths: PathLike, schema: T.StructType, header: bool) -> DataFrame:
+    """The declared columns as text."""
+    names = [f.name for f in schema.fields]
+    options = {"header": header, "sep": ",", "nullValue": "", "encoding": "UTF-8", "mode": "FAILFAST" if header else "PERMISSIVE"}
+    if not header:
+        return spark.read.options(**options).schema(all_string(schema)).csv(_paths(paths))
+    parts = []
+    for path in _paths(paths):  # each input names its own columns
+        found = spark.read.options(**{**options, "mode": "PERMISSIVE"}).csv(path)
+        missing = set(names) - set(found.columns)
+        if missing:
+            raise ValueError(f"{path} has no column {sorted(missing)}; it has {found.columns}")
+        parts.append(found.select(*names))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def read_csv(
-    spark: SparkSession, paths: PathLike, schema: T.StructType, header: bool = True
+    spark: SparkSession, paths: PathLike, schema: T.StructType, header: bool = True, strict: bool = False
 ) -> DataFrame:
-    raw = (
-        spark.read.schema(all_string(schema))
-        .option("header", header)
-        .option("sep", ",")
-        .option("nullValue", "")
-        .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
-        .csv(_paths(paths))
-    )
-    return typed(raw, schema)
+    """Declared columns of CSV files, by name with a header, by position without."""
+    return typed(_csv_text(spark, paths, schema, header), schema, strict)
+
+
+def bad_values(spark: SparkSession, paths: PathLike, schema: T.StructType, header: bool = True) -> DataFrame:
+    """One row: per column, the values that are there but not of its type."""
+    text = _csv_text(spark, paths, schema, header)
+    wrong = [
+        F.count_if(F.col(f.name).isNotNull() & F.trim(F.col(f.name)).try_cast(f.dataType).isNull()).alias(f.name)
+        for f in schema.fields
+    ]
+    return text.agg(*wrong)
 
 
 def read_log(spark: SparkSession, paths: PathLike, header: bool = True) -> DataFrame:
@@ -62,6 +88,14 @@ def read_users(spark: SparkSession, paths: PathLike, header: bool = True) -> Dat
     return read_csv(spark, paths, USERS_SCHEMA, header)
 
 
+def require_unique(df: DataFrame, key: str) -> DataFrame:
+    """``df``, after checking that no two rows have the same non-null key."""
+    twice = df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"{key} {twice[0]} has {twice[1]} rows; profiles must be one row per {key}")
+    return df
+
+
 def read_pairs(spark: SparkSession, paths: PathLike, labelled: bool = True) -> DataFrame:
     """(user, merchant, label) pairs; unlabelled pair files keep a string third column."""
     if labelled:
@@ -75,9 +109,15 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int = 10) -> DataF
     return spark.read.format("libsvm").option("numFeatures", num_features).load(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A staged Parquet table (e.g. a log written partitioned by day)."""
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, paths: PathLike, columns: Sequence[str] | None = None) -> DataFrame:
+    """Parquet tables (e.g. a log written by day), with the declared columns if given."""
+    df = spark.read.parquet(*_paths(paths))
+    if columns is None:
+        return df
+    missing = set(columns) - set(df.columns)
+    if missing:
+        raise ValueError(f"{paths} has no column {sorted(missing)}; it has {df.columns}")
+    return df.select(*columns)
 
 
 def read_lines(spark: SparkSession, paths: PathLike) -> DataFrame:
@@ -113,19 +153,43 @@ def tagged_source(
     lines drop out (their user id is not a number). The result feeds an
     ordinary join (``operators.joins.join_tagged``), not a per-user reducer.
     """
-    parts = F.split(F.col("value"), ",", -1)
-    field = lambda i: F.nullif(F.get(parts, i), F.lit(""))
     is_log = F.col("file_path").contains(log_marker)
-    is_users = F.col("file_path").contains(users_marker)
-    log_keep = ~F.coalesce(field(6), F.lit("")).eqNullSafe("0")
+    is_users = ~is_log & F.col("file_path").contains(users_marker)
+    return log_lines(lines.where(is_log), day).unionByName(user_lines(lines.where(is_users)))
+
+
+def _field(i: int) -> F.Column:
+    return F.nullif(F.get(F.split(F.col("value"), ",", -1), i), F.lit(""))
+
+
+def _tag(lines: DataFrame, keep: F.Column, value: F.Column, tag: str) -> DataFrame:
+    return lines.where((F.length("value") > 0) & keep).select(
+        _field(0).try_cast("bigint").alias("user_id"), value.alias("value"), F.lit(tag).alias("tag")
+    ).where(F.col("user_id").isNotNull())
+
+
+def log_lines(lines: DataFrame, day: str | None = "1111") -> DataFrame:
+    """Tagged log lines of a day that are no clicks."""
+    keep = ~F.coalesce(_field(6), F.lit("")).eqNullSafe("0")
     if day is not None:
-        log_keep = log_keep & (F.coalesce(field(5), F.lit("")) == day)
-    users_keep = field(1).isNotNull() | field(2).isNotNull()
-    tagged = lines.where(
-        (F.length("value") > 0) & ((is_log & log_keep) | (~is_log & is_users & users_keep))
-    ).select(
-        field(0).try_cast("bigint").alias("user_id"),
-        F.when(is_log, field(3)).otherwise(field(1)).alias("value"),
-        F.when(is_log, F.lit("a")).otherwise(F.lit("b")).alias("tag"),
-    )
-    return tagged.where(F.col("user_id").isNotNull())
+        keep = keep & (F.coalesce(_field(5), F.lit("")) == day)
+    return _tag(lines, keep, _field(3), "a")
+
+
+def user_lines(lines: DataFrame) -> DataFrame:
+    """Tagged profile lines with an age or a gender."""
+    return _tag(lines, _field(1).isNotNull() | _field(2).isNotNull(), _field(1), "b")
+
+
+def read_tagged(
+    spark: SparkSession, paths: PathLike, log_marker: str = "user_log", users_marker: str = "user_info", day: str | None = "1111"
+) -> DataFrame:
+    """Tagged rows of mixed text inputs (A4): each input is routed by its file name and read once."""
+    name = lambda p: p.rstrip("/").rsplit("/", 1)[-1]
+    logs = [p for p in _paths(paths) if log_marker in name(p)]
+    users = [p for p in _paths(paths) if users_marker in name(p) and p not in logs]
+    parts = [log_lines(read_lines(spark, logs), day)] if logs else []
+    parts += [user_lines(read_lines(spark, users))] if users else []
+    if not parts:
+        raise ValueError(f"no input is named after {log_marker} or {users_marker}: {_paths(paths)}")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -22,7 +22,7 @@ def inputs(spark, tmp_path_factory):
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
 
 def test_top_items_job(spark, inputs):
@@ -73,3 +73,26 @@ def test_evaluate_job_on_libsvm(spark, inputs):
     assert set(rows) == {"lr", "nb"}
     assert all(0.0 <= r.error_rate <= 1.0 and 0.0 <= r.score_auc <= 1.0 for r in rows.values())
     assert spark.read.option("header", True).csv(str(d / "eval_out")).count() == 2
+
+
+def test_formats_are_said_not_guessed(spark, inputs, tmp_path):
+    d, p = inputs
+    plain = str(tmp_path / "users")  # a Parquet folder without a suffix
+    fixtures.user_info(spark, SMALL).write.parquet(plain)
+    log = str(tmp_path / "log")
+    fixtures.user_log(spark, SMALL).write.parquet(log)
+    got = jobs.share_job(spark, log, plain, str(tmp_path / "out"), fmt="parquet")
+    assert _rows(got) == _rows(Q["sql_age_share"](spark, SMALL))
+    with pytest.raises(ValueError, match="no column"):
+        jobs.share_job(spark, log, log, str(tmp_path / "out2"), fmt="parquet")
+    with pytest.raises(ValueError, match="fmt"):
+        jobs.top_items_job(spark, log, str(tmp_path / "out3"), fmt="orc")
+
+
+def test_profiles_must_be_unique(spark, inputs, tmp_path):
+    d, p = inputs
+    twice = str(tmp_path / "twice.csv")
+    users = fixtures.user_info(spark, SMALL)
+    users.unionByName(users.limit(1)).write.option("header", True).csv(twice)
+    with pytest.raises(ValueError, match="user_id"):
+        jobs.share_job(spark, p["user_log"], twice, str(tmp_path / "out"))

@@ -1,7 +1,10 @@
 """Readers over real files: multi-path CSV, text lines, tagged routing."""
 
 from clickmart.operators import joins
-from clickmart.sources import read_lines, read_log, read_pairs, split_fields, tagged_source
+import pytest
+
+from clickmart.schemas import LOG_SCHEMA
+from clickmart.sources import bad_values, read_csv, read_lines, read_log, read_pairs, read_tagged, read_users, split_fields, tagged_source
 
 LOG_HEADER = "user_id,item_id,cat_id,seller_id,brand_id,time_stamp,action_type\n"
 
@@ -40,3 +43,33 @@ def test_tagged_routing_by_file_name(spark, tmp_path):
     assert got == [(1, "2", "b"), (1, "40", "a"), (2, "42", "a"), (2, "5", "b"), (3, "1", "b")]
     young = joins.join_tagged(tagged).collect()
     assert [(r.user_id, r.seller_id) for r in young] == [(1, "40")]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    p = tmp_path / "info.csv"
+    p.write_text("user_id,gender,age_range\n1,0,4\n")
+    r = read_users(spark, str(p)).first()
+    assert (r.user_id, r.age_range, r.gender) == (1, 4, 0)
+    p.write_text("user_id,gender\n1,0\n")
+    with pytest.raises(ValueError, match="age_range"):
+        read_users(spark, str(p))
+
+
+def test_malformed_values_are_counted_or_fail(spark, tmp_path):
+    p = tmp_path / "log.csv"
+    p.write_text(LOG_HEADER + "1,2,3,4,,1111,0\nx,2,y,4,,1111,0\n")
+    assert sorted((r.user_id is None) for r in read_log(spark, str(p)).collect()) == [False, True]
+    counts = bad_values(spark, str(p), LOG_SCHEMA).first()
+    assert (counts.user_id, counts.cat_id, counts.item_id) == (1, 1, 0)
+    with pytest.raises(Exception, match="not a bigint"):
+        read_csv(spark, str(p), LOG_SCHEMA, strict=True).collect()
+
+
+def test_tagged_scan_reads_each_file_once(spark, tmp_path):
+    log, users = tmp_path / "user_log_1.csv", tmp_path / "user_info_1.csv"
+    log.write_text(LOG_HEADER + "1,2,3,40,,1111,1\n")
+    users.write_text("user_id,age_range,gender\n1,2,0\n")
+    young = joins.join_tagged(read_tagged(spark, f"{log},{users}"))
+    plan = young._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 2  # one per file, not both files per branch
+    assert [(r.user_id, r.seller_id) for r in young.collect()] == [(1, "40")]
