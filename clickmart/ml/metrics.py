@@ -85,7 +85,11 @@ def summary(df: DataFrame, label: str = "label", prediction: str = "prediction")
     )
 
 
-def score_auc(df: DataFrame, score: str = "rawPrediction", label: str = "label", metric: str = "areaUnderROC") -> float:
-    """Curve area from a continuous score (or hard labels, to reproduce T9)."""
-    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, metricName=metric)
+def score_auc(df: DataFrame, score: str = "rawPrediction", label: str = "label", metric: str = "areaUnderROC", bins: int = 0) -> float:
+    """Curve area from a continuous score (or hard labels, to reproduce T9).
+
+    ``bins=0`` is exact, a point per distinct score; a positive number
+    merges neighbouring scores into about so many points.
+    """
+    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, metricName=metric, numBins=bins)
     return ev.evaluate(df)

@@ -45,11 +45,13 @@ class _SGDParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPrediction
 
 
 def _margin(x: Column, weights: list[float]) -> Column:
-    terms = [x[j] * F.lit(float(w)) for j, w in enumerate(weights)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+    """``w . x`` with the weights as data of an array function.
+
+    As literals of plain arithmetic they would be part of the generated
+    code, which every gradient step would then compile anew.
+    """
+    products = F.zip_with(x, F.lit([float(w) for w in weights]), lambda a, b: a * b)
+    return F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)
 
 
 def gradient_step_sums(data: DataFrame, weights: list[float]) -> tuple[list[float], float, int]:

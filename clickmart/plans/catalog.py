@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..operators import features, filters, joins, ranking, shares
 from ..schemas import LOG_COLUMNS, LOG_SCHEMA
+from ..session import fresh_dir
+from ..sinks import write, write_lines
 from ..sources import fixtures, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +96,65 @@ def q_tagged_source(spark, d):
     return readers.tagged_source(lines)
 
 
+# real files: written under the staging folder, read back whole
+@query("csv_scan")
+def q_csv_scan(spark, d):
+    path = fresh_dir(spark, "csv-log")
+    write(_log(spark, d), path, fmt="csv")
+    return readers.read_log(spark, path)
+
+
+@query("csv_multi_path")
+def q_csv_multi_path(spark, d):
+    base = fresh_dir(spark, "csv-parts")
+    log = _log(spark, d)
+    clicks = F.col("action_type") == 0
+    write(log.where(clicks), f"{base}/clicks", fmt="csv")
+    # the other file has its columns in another order
+    write(log.where(~clicks).select(*reversed(LOG_COLUMNS)), f"{base}/rest", fmt="csv")
+    return readers.read_log(spark, f"{base}/clicks,{base}/rest")
+
+
+@query("csv_users_scan")
+def q_csv_users_scan(spark, d):
+    path = fresh_dir(spark, "csv-users")
+    write(_users(spark, d), path, fmt="csv")
+    return readers.require_unique(readers.read_users(spark, path), "user_id")
+
+
+def _text_files(spark: SparkSession, d: str) -> tuple[str, str]:
+    base = fresh_dir(spark, "text")
+    paths = f"{base}/user_log_format1.csv", f"{base}/user_info_format1.csv"
+    for df, path in zip((_log(spark, d), _users(spark, d)), paths):
+        write_lines(_as_lines(df, path), path, column="value")
+    return paths
+
+
+@query("text_scan")
+def q_text_scan(spark, d):
+    log, _ = _text_files(spark, d)
+    return readers.typed(readers.split_fields(readers.read_lines(spark, log), LOG_COLUMNS), LOG_SCHEMA)
+
+
+@query("tagged_scan")
+def q_tagged_scan(spark, d):
+    return readers.read_tagged(spark, ",".join(_text_files(spark, d)))
+
+
+@query("csv_sink_round_trip")
+def q_csv_sink_round_trip(spark, d):
+    path, top = fresh_dir(spark, "csv-top"), q_top_merchants_all(spark, d)
+    write(top, path, fmt="csv")
+    return readers.read_csv(spark, path, top.schema)
+
+
+@query("report_round_trip")
+def q_report_round_trip(spark, d):
+    path = fresh_dir(spark, "report")
+    write_lines(q_rank_report(spark, d), path)
+    return readers.read_lines(spark, path).select(F.col("value").alias("line"))
+
+
 # ----------------------------------------------------------------- joins ---
 @query("join_inner")
 def q_join_inner(spark, d):
@@ -258,13 +319,13 @@ def q_age_share_month(spark, d):
 
 @query("sql_age_share")
 def q_sql_age_share(spark, d):
-    fixtures.register_views(spark, d)
+    fixtures.register_views(_log(spark, d), _users(spark, d))
     return shares.sql_share(spark, "age_range")
 
 
 @query("sql_gender_share")
 def q_sql_gender_share(spark, d):
-    fixtures.register_views(spark, d)
+    fixtures.register_views(_log(spark, d), _users(spark, d))
     return shares.sql_share(spark, "gender")
 
 

@@ -45,7 +45,8 @@ log_agg as (
          count(*) filter (where action_type is distinct from 0) as one_clicks,
          count(*) filter (where action_type = 1) as shopping_carts,
          count(*) filter (where action_type = 2) as purchase_times,
-         count(*) filter (where action_type = 3) as favor_times
+         count(*) filter (where action_type = 3) as favor_times,
+         count(*) filter (where action_type = 0) as clicks
   from user_log group by user_id, seller_id
 ),
 pair_features as (
@@ -221,7 +222,7 @@ select user_id, seller_id as merchant_id, action_type, count(*) as times from us
     "categories": "select user_id, merchant_id, categories from log_agg",
     "browse_days": "select user_id, merchant_id, browse_days from log_agg",
     "action_features": """
-select user_id, merchant_id, one_clicks, shopping_carts, purchase_times, favor_times from log_agg
+select user_id, merchant_id, one_clicks, shopping_carts, purchase_times, favor_times, clicks from log_agg
 """,
     "top_items": _top_items("time_stamp = '1111'"),
     "top_items_month": _top_items("time_stamp like '11%'"),
@@ -303,8 +304,73 @@ from (select sum(case when label = 1 then 1.0 else 0.0 end) as pos,
 }
 
 
+SQL |= {
+    "csv_scan": SQL["split_fields"],
+    "csv_multi_path": SQL["split_fields"],
+    "csv_users_scan": "select * from user_info",
+    "text_scan": SQL["split_fields"],
+    "tagged_scan": SQL["tagged_source"],
+    "csv_sink_round_trip": SQL["top_merchants_all"],
+    "report_round_trip": f"select line from ({SQL['rank_report']})",
+    "libsvm_round_trip": "select cast(label as double) as label, "
+    + ", ".join(f"cast({f} as double) as {f}" for f in FEATURES)
+    + " from features_filled",
+    "submission_keys": """
+select model, user_id, merchant_id
+from scoring_pairs, (values ('lr'), ('svm'), ('nb'), ('dt')) kinds(model)
+""",
+    "split_rows": """
+select user_id, merchant_id,
+       case when (11 * 104729 + (user_id % 1000003) * 7919 + (merchant_id % 1000003) * 100121) % 1000003 % 10000 < 6000
+            then 'train' else 'test' end as side
+from pairs
+""",
+    "lr_gradient": " union all ".join(f"select {i} as feature, 0.0 as gradient" for i in range(len(FEATURES))),
+    "tree_leaf_counts": "select cast(label as double) as label, count(*) as n from features_filled group by label",
+}
+
+
+def _svm_weights(steps: int = 4, reg: float = 0.01) -> str:
+    """The gradient steps one after another, each a pass over all rows."""
+    n = len(FEATURES)
+    out = ", w0 as (select " + ", ".join(f"cast(0 as double) as a{i}" for i in range(n)) + ")\n"
+    for t in range(1, steps + 1):
+        rate = f"(1.0 / sqrt({t}.0))"
+        margin = " + ".join(f"f.{x} * w.a{i}" for i, x in enumerate(FEATURES))
+        active = f"1.0 - (2.0 * f.label - 1.0) * ({margin}) > 0"
+        cols = ", ".join(
+            f"any_value(w.a{i}) * (1.0 - {rate} * {reg})"
+            f" - {rate} * sum(case when {active} then -(2.0 * f.label - 1.0) * f.{x} else 0.0 end) / count(*) as a{i}"
+            for i, x in enumerate(FEATURES)
+        )
+        out += f", w{t} as (select {cols} from features_filled f, w{t - 1} w)\n"
+    return out + " union all ".join(f"select {i} as feature, round(a{i}, 6) as weight from w{steps}" for i in range(n))
+
+
+def _evaluate_nb() -> str:
+    """Naive Bayes fitted on one side of the split, measured on the other."""
+    inner = _nb_predictions()
+    side = "(11 * 104729 + (user_id % 1000003) * 7919 + (merchant_id % 1000003) * 100121) % 1000003 % 10000"
+    inner = inner.replace("from features_filled group by label", f"from features_filled where {side} < 6000 group by label")
+    head, tail = inner.split("\nselect user_id", 1)
+    return f"""{head}
+, predicted as (select user_id{tail}),
+counts as (
+  select sum(case when label = 1 then 1.0 else 0.0 end) as pos, sum(case when label = 0 then 1.0 else 0.0 end) as neg,
+         sum(case when label = 1 and prediction = 1 then 1.0 else 0.0 end) as tp,
+         sum(case when label = 0 and prediction = 1 then 1.0 else 0.0 end) as fp
+  from predicted where {side} >= 6000)
+select round((fp + pos - tp) / (pos + neg), 9) as error_rate, round((tp + neg - fp) / (pos + neg), 9) as accuracy,
+       round(case when pos = 0 or neg = 0 then 0.5 else (1.0 + tp / pos - fp / neg) / 2 end, 9) as hard_auc,
+       round(case when tp + fp = 0 or pos = 0 then pos / (pos + neg)
+                  else (tp / pos) * (tp / (tp + fp)) + (1 - tp / pos) * (tp / (tp + fp) + pos / (pos + neg)) / 2 end, 9) as hard_aupr,
+       cast(pos + neg as bigint) as rows
+from counts
+"""
+
+
 # queries whose SQL continues the shared WITH list instead of starting a select
-CONTINUED = {"train_nb": _nb_predictions()}
+CONTINUED = {"train_nb": _nb_predictions(), "svm_weights": _svm_weights(), "evaluate_nb": _evaluate_nb()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -133,19 +133,40 @@ def test_sgd_svm_pipeline_saves_and_loads(spark, assembled):
     assert a.exceptAll(b).count() == 0
 
 
-def test_submission_reuses_saved_models(spark, assembled, monkeypatch):
-    from clickmart.plans import model_queries as mq
-
-    rows = []
-    for kind, extra in (("lr", {"maxIter": 5}), ("svm", {"maxIter": 2}), ("gbt", {"maxIter": 1}), ("svm_norm", {"maxIter": 2})):
-        path = models.save(models.train(assembled, kind, **extra), fresh_dir(spark, f"reuse-{kind}"))
-        rows.append((kind, path, 0.0))
-    monkeypatch.setattr(mq, "_SAVED", {})  # this test's saved models stay local to it
-    mq._remember(spark, SMALL, spark.createDataFrame(rows, "model string, path string, error_rate double"))
-
-    def no_training(*a, **k):
-        raise AssertionError("submission retrained a saved model")
-
-    monkeypatch.setattr(models, "train_all", no_training)
-    out = mq.q_submission(spark, SMALL)
-    assert set(r.model for r in out.select("model").distinct().collect()) == {"lr", "svm", "gbt", "svm_norm"}
+def test_split_does_not_depend_on_the_layout(spark, assembled):
+    for df in (assembled, assembled.select("label", "features")):
+        one = [part.drop("features").collect() for part in models.split(df)]
+        two = [part.drop("features").collect() for part in models.split(df.repartition(7))]
+        assert [sorted(x) for x in one] == [sorted(x) for x in two]
+        assert sum(map(len, one)) == assembled.count()
+        assert abs(len(one[0]) / assembled.count() - 0.6) < 0.05
+
+
+def test_svm_steps_compile_no_new_code(spark, assembled):
+    count = lambda: spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME().getCount()
+    models.train(assembled, "svm", maxIter=2, tol=0.0)
+    before = count()
+    models.train(assembled, "svm", maxIter=12, tol=0.0)
+    assert count() - before <= 2
+
+
+def test_submission_scores_equal_each_models_own(spark, assembled):
+    paths = {}
+    for kind, extra in (("lr", {"maxIter": 5}), ("gbt", {"maxIter": 1}), ("svm_norm", {"maxIter": 2})):
+        paths[kind] = models.save(models.train(assembled, kind, **extra), fresh_dir(spark, f"sub-{kind}"))
+    out = models.score_to_submission(paths, assembled)
+    for kind, path in paths.items():
+        own = models.score(models.load(path), assembled).select("user_id", "merchant_id", "score")
+        assert out.where(out.model == kind).drop("model").exceptAll(own).count() == 0
+    assert out.count() == 3 * assembled.count()
+
+
+def test_score_auc_is_exact(spark):
+    rows = [(float(i % 3 == 0), (i * 7919) % 5003 / 5003) for i in range(4000)]
+    df = spark.createDataFrame(rows, "label double, score double")
+    pos = [s for y, s in rows if y]
+    neg = sorted(s for y, s in rows if not y)
+    from bisect import bisect_left, bisect_right
+
+    area = sum(bisect_left(neg, s) + 0.5 * (bisect_right(neg, s) - bisect_left(neg, s)) for s in pos) / len(pos) / len(neg)
+    assert math.isclose(metrics.score_auc(df, "score"), area, abs_tol=1e-12)
