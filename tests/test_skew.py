@@ -70,3 +70,21 @@ def test_pair_features_on_skewed_log(spark, skewed):
     assert hot.total_logs == len(hot_rows)
     assert hot.unique_item_ids == len({r[1] for r in hot_rows})
     assert hot.one_clicks == sum(1 for r in hot_rows if r[6] != 0)
+
+
+def test_sql_share_reduces_the_hot_user_before_the_join(spark, skewed):
+    from clickmart.operators import shares
+    from clickmart.sources import register_views
+
+    rows, users, log, profiles = skewed
+    register_views(log.repartition(5), profiles)
+    df = shares.sql_share(spark, "age_range")
+    age = {u: a for (u, a, _) in users}
+    want = Counter(age[u] for u in {r[0] for r in rows if r[6] == 2} if 1 <= age[u] <= 8)
+    assert {r.age_range: r.buy_num for r in df.collect()} == dict(want)
+    # distinct buyers are combined below the join, ahead of the shuffle by user
+    plan = _final_plan(df)
+    below = plan[plan.index("SortMergeJoin"):]
+    assert below.index("HashAggregate(keys=[user_id") < below.index("FileScan" if "FileScan" in below else "Scan ExistingRDD")
+    partial = "HashAggregate(keys=[user_id#"
+    assert below.count(partial) >= 2, plan  # the combining step and the final one
