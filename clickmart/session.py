@@ -7,6 +7,7 @@ partition sizing) and resolves where staged tables may be written.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -53,9 +54,25 @@ def build_session(
     for k, v in conf.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
+    make_importable(spark)
     return spark
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver did.
+
+    Enough where they see the driver's file system (one machine, a shared
+    mount); elsewhere ship the package with ``--py-files`` or install it.
+    """
+    sc = _context(spark)
+    if sc is None:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        sc.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def _context(spark: SparkSession):
     try:
         return spark.sparkContext
