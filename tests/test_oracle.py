@@ -4,7 +4,9 @@ import pytest
 from conftest import MEDIUM, SMALL
 from oracle_check import compare
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from clickmart.plans.catalog import all_queries as queries
+from clickmart.plans.oracle import oracle_sql
 
 SQL = oracle_sql()
 QUERIES = queries()
