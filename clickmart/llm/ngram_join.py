@@ -14,11 +14,13 @@ Steps:
 2. one pass makes each document's set size, set signature, l and prefix;
    equal sets become one vertex;
 3. tokens with one vertex are dropped; in each other posting list every
-   vertex is compared with the list's first one only (a star, not all
-   pairs), and verified links join vertices into groups;
+   vertex is compared with a few pivots only (stars, not all pairs): those
+   that share most of their own prefix tokens with others, such as the text
+   that many were copied from; verified links join vertices into groups;
 4. lists whose vertices are all in one group are settled; in the others
    pairs from different groups are joined, counted per pair, and those with
-   l shared tokens verified. So no link between different groups is lost,
+   l shared tokens verified, if the shared tokens and what stands behind
+   the prefixes can make up the similarity at all. So no link between different groups is lost,
    and a group of thousands of near copies costs its size, not its square;
 5. groups are the connected components of the verified links.
 
@@ -53,6 +55,8 @@ SKETCH = 1 << 16
 LEVELS = 4
 #: Cost of verifying a candidate, per shingle, against reading one posting.
 VERIFY_COST = 0.05
+#: Vertices of a posting list that all others in it are compared with at first.
+PIVOTS = 3
 
 _U = np.uint64
 
@@ -106,7 +110,7 @@ def _document_rows(docs: DataFrame, words: int, percent: int, sketch) -> DataFra
         table = sketch.value
         rid = TaskContext.get().partitionId() << 36
         squeeze = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in (whole.slice(first, 1000) for whole in batches for first in range(0, len(whole), 1000)):
             text = batch.column("text")
             size = len(batch)
             n = np.zeros(size, np.int64)
@@ -159,8 +163,8 @@ def _document_rows(docs: DataFrame, words: int, percent: int, sketch) -> DataFra
     )
 
 
-def _verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets have the similarity."""
+def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole shingle sets have the similarity; ``texts`` has id and packed."""
 
     def sets(packed: dict[int, bytes]) -> dict[int, np.ndarray]:
         out: dict[int, np.ndarray] = {}
@@ -191,8 +195,6 @@ def _verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Data
                     keep.append(100 * both >= percent * (len(sx) + len(sy) - both))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = staged(rows.join(ends, rows["rid"] == ends["id"], "left_semi").select(F.col("rid").alias("id"), "packed"), "join-texts")
     both = (
         pairs.join(texts.select(F.col("id").alias("b"), F.col("packed").alias("b_packed")), "b")
         .join(texts.select(F.col("id").alias("a"), F.col("packed").alias("a_packed")), "a")
@@ -201,9 +203,16 @@ def _verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Data
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def _similar_length(percent: int):
-    small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    return 100 * small >= percent * large
+def _missing(percent: int):
+    """Shared tokens that a similar pair must have among its indexed prefixes.
+
+    Common tokens up to the end of the prefix that ends first are in both
+    prefixes; behind it stand at most that set's other tokens.
+    """
+    need = F.ceil((F.col("a_n") + F.col("b_n")) * percent / F.lit(100.0 + percent) - 1e-9)
+    indexed = lambda n: F.least(n, n - F.floor((n * percent + 99) / 100) + LEVELS)
+    unseen = lambda c: F.col(c) - indexed(F.col(c))
+    return need - F.greatest(unseen("a_n"), unseen("b_n"))
 
 
 def ngram_groups(
@@ -227,7 +236,6 @@ def ngram_groups(
         .agg(F.min("rid").alias("id"), F.min(first).alias("first"), F.max("n").alias("n"), F.max("level").alias("level")),
         "join-nodes",
     )
-    size = nodes.select("id", "n")
     base = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
     entries = rows.join(nodes.select("id"), rows["rid"] == F.col("id")).select(
         "id", base.alias("base"), F.posexplode("prefix").alias("pos", "token")
@@ -240,20 +248,36 @@ def ngram_groups(
     live = staged(
         entries.withColumn("lo", F.min("ref").over(posting)).withColumn("hi", F.max("ref").over(posting))
         .where("shiftright(lo, 3) < shiftright(hi, 3)")
-        .select("token", F.shiftright("ref", 3).alias("id"), F.col("ref").bitwiseAND(F.lit(7)).alias("level"), F.shiftright("lo", 3).alias("pivot")),
+        .select("token", F.shiftright("ref", 3).alias("id"), F.col("ref").bitwiseAND(F.lit(7)).alias("level")),
         "join-postings",
     )
 
-    def sized(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(size.select(F.col("id").alias("a"), F.col("n").alias("a_n")), "a")
-            .join(size.select(F.col("id").alias("b"), F.col("n").alias("b_n")), "b")
-            .where(_similar_length(percent))
-            .select("a", "b")
-        )
-
-    stars = live.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = staged(_verify(staged(sized(stars), "join-stars"), rows, words, percent), "join-links")
+    # a vertex with its set size and how many of its indexed tokens others share
+    size = staged(
+        live.groupBy("id").agg(F.count("*").alias("live")).join(nodes.select("id", "n", F.col("level").alias("asks")), "id"),
+        "join-sizes",
+    )
+    ranked = live.join(size, "id").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("token").orderBy((F.col("live") / F.col("n")).desc(), "id"))
+    )
+    pivots = ranked.where(F.col("rank") <= PIVOTS).select("token", F.col("id").alias("b"))
+    # a star pair is worth comparing if it shares half of what a similar pair must; step 4 looks at all others
+    stars = (
+        live.select("token", F.col("id").alias("a")).join(pivots, "token").where("a <> b")
+        .groupBy("a", "b").agg(F.count("*").alias("shared"))
+        .join(size.select(F.col("id").alias("a"), F.col("n").alias("a_n")), "a")
+        .join(size.select(F.col("id").alias("b"), F.col("n").alias("b_n")), "b")
+        .where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+        .where(2 * F.col("shared") >= _missing(percent))
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    )
+    # texts of the vertices that share a token: the same plan at every size, whether few or many
+    texts = staged(
+        rows.select(F.col("rid").alias("id"), "packed").join(live.select("id").distinct().hint("merge"), "id", "left_semi"),
+        "join-texts",
+    )
+    stars = staged(stars, "join-stars")
+    links = staged(_verify(stars, texts, words, percent), "join-links")
     groups = staged(connected_components(links), "join-groups")
 
     placed = live.join(groups, live["id"] == groups["node"], "left").select(
@@ -262,23 +286,25 @@ def ngram_groups(
     open_tokens = (
         placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
     )
-    rest = staged(
-        placed.join(open_tokens, "token")
-        .join(nodes.select("id", "n", F.col("level").alias("asks")), "id"),
-        "join-open",
-    )
-    x = rest.select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "level", "root", "n", "asks")]).where("x_level <= x_asks")
-    y = rest.select("token", *[F.col(c).alias(f"y_{c}") for c in ("id", "level", "root", "n")])
+    rest = staged(placed.join(open_tokens, "token").join(size, "id"), "join-open")
+    cols = ("id", "level", "root", "n", "live")
+    x = rest.select("token", F.col("asks"), *[F.col(c).alias(f"a_{c}") for c in cols])
+    y = rest.select("token", *[F.col(c).alias(f"b_{c}") for c in cols])
     more = (
         x.join(y, "token")
-        .where("x_root <> y_root and y_level <= x_asks and struct(x_n, x_id) > struct(y_n, y_id)")
-        .where(f"100 * y_n >= {percent} * x_n")
-        .groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b"), "x_asks")
-        .agg(F.count("*").alias("shared"))
-        .where("shared >= x_asks")
+        .where("a_root <> b_root and struct(a_n, a_id) > struct(b_n, b_id)")
+        .where(f"100 * b_n >= {percent} * a_n")
+        # no more tokens can be shared than either shares with anyone
+        .where(F.least("a_live", "b_live") >= _missing(percent))
+        .groupBy(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "asks", "a_n", "b_n")
+        .agg(F.count("*").alias("shared"), F.count_if(F.expr("a_level <= asks and b_level <= asks")).alias("asked"))
+        .where("asked >= asks")
+        .where(F.col("shared") >= _missing(percent))
         .select("a", "b")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .join(stars, ["a", "b"], "left_anti")
     )
-    found = staged(_verify(staged(more, "join-candidates"), rows, words, percent), "join-more-links")
+    found = staged(_verify(staged(more, "join-candidates"), texts, words, percent), "join-more-links")
     bridges = found.join(groups.select(F.col("node").alias("a"), F.col("root").alias("a_root")), "a", "left").join(
         groups.select(F.col("node").alias("b"), F.col("root").alias("b_root")), "b", "left"
     ).select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
