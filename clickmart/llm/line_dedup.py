@@ -16,8 +16,9 @@ that multi-match-aware selection leaves (12 for t = 2). Steps:
 3. a key with one line is dropped; in the others every line is compared
    with the key's first indexed line only, and verified links make groups;
 4. keys whose lines are all in one group are settled; in the others, pairs
-   from different groups are verified. No link between groups is lost and
-   a group of thousands of variants costs its size, not its square;
+   from different groups that also agree on a group of character counts
+   (which lines so close must) are verified. No link between groups is
+   lost, and thousands of variants of a line are not compared pair by pair;
 5. verification is the banded bit-parallel edit distance, a whole batch of
    pairs at once.
 
@@ -167,8 +168,39 @@ def _line_keys(docs: DataFrame, min_chars: int, edits: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key bigint, ref bigint")
 
 
-def _line_texts(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(line, chars): the text of the lines long enough, once per batch."""
+#: Cells of a line's character counts, each kept modulo 16 in four bits of two longs.
+COUNT_CELLS = 32
+
+
+def count_sketch(chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """(lines, 2) longs: how many characters of each of 32 classes a line has, modulo 16."""
+    size = end - start
+    at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    cell = (mix(chars[at].astype(np.uint64) + _U(11)) & _U(COUNT_CELLS - 1)).astype(np.int64)
+    line = np.repeat(np.arange(len(size)), size)
+    counts = np.bincount(line * COUNT_CELLS + cell, minlength=len(size) * COUNT_CELLS).reshape(-1, 2, 16).astype(np.uint64) & _U(15)
+    return (counts << (np.arange(16, dtype=np.uint64) * _U(4))).sum(axis=2, dtype=np.uint64)
+
+
+def _sketch_distance(a: str, b: str):
+    """What the counts of two lines differ by at least, from their sketches."""
+    terms = []
+    for half in (1, 2):
+        for i in range(16):
+            x, y = (f"(shiftrightunsigned({c}{half}, {4 * i}) & 15L)" for c in (a, b))
+            d = f"(({x} - {y}) & 15L)"
+            terms.append(f"least({d}, 16 - {d})")
+    return F.expr(" + ".join(terms))
+
+
+def _line_texts(docs: DataFrame, min_chars: int, edits: int) -> DataFrame:
+    """(line, chars, s1, s2, parts) of the lines long enough, once per batch.
+
+    An edit changes two of the counts by one at most. So lines within t
+    edits differ in 2 t counts at most, and agree on one of 2 t + 1 groups
+    of counts: ``parts`` are the hashes of those groups.
+    """
+    cells = np.arange(COUNT_CELLS) % (2 * edits + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,11 +212,25 @@ def _line_texts(docs: DataFrame, min_chars: int) -> DataFrame:
                 h, first = np.unique(_line_hash(_sums(chars), start, end), return_index=True)
                 new = np.array([x not in seen for x in h.tolist()], bool)
                 h, first = h[new], first[new]
+                if not len(h):
+                    continue
                 seen.update(h.tolist())
                 text = [chars[start[k] : end[k]].tobytes().decode("utf-32-le") for k in first]
-                yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(text, pa.string())], ["line", "chars"])
+                sketch = count_sketch(chars, start[first], end[first])
+                counts = (sketch[:, :, None] >> (np.arange(16, dtype=np.uint64) * _U(4)) & _U(15)).reshape(-1, COUNT_CELLS)
+                parts = np.empty((len(h), 2 * edits + 1), np.uint64)
+                for g in range(2 * edits + 1):
+                    parts[:, g] = _U(g)
+                    for c in np.flatnonzero(cells == g):
+                        parts[:, g] = mix(parts[:, g] * _U(17) + counts[:, c])
+                offs = pa.array((np.arange(len(h) + 1) * (2 * edits + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(h)), pa.array(text, pa.string()), pa.array(signed(sketch[:, 0].copy())), pa.array(signed(sketch[:, 1].copy())),
+                     pa.ListArray.from_arrays(offs, pa.array(signed(parts.ravel())))],
+                    ["line", "chars", "s1", "s2", "parts"],
+                )
 
-    return docs.select("text").mapInArrow(run, "line bigint, chars string")
+    return docs.select("text").mapInArrow(run, "line bigint, chars string, s1 bigint, s2 bigint, parts array<bigint>")
 
 
 def within_edits(left: list[str], right: list[str], edits: int) -> np.ndarray:
@@ -241,16 +287,12 @@ def _plain_distance(a: str, b: str) -> int:
     return row[-1]
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, min_chars: int, edits: int) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = within_edits(batch.column("a_chars").to_pylist(), batch.column("b_chars").to_pylist(), edits)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    ends = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
-    texts = staged(
-        _line_texts(docs, min_chars).join(ends, "line", "left_semi").dropDuplicates(["line"]), "line-texts"
-    )
     both = (
         pairs.join(texts.select(F.col("line").alias("b"), F.col("chars").alias("b_chars")), "b")
         .join(texts.select(F.col("line").alias("a"), F.col("chars").alias("a_chars")), "a")
@@ -276,22 +318,36 @@ def line_groups(docs: DataFrame, min_chars: int, edits: int) -> DataFrame:
         live.where("line <> pivot").select(F.greatest("line", "pivot").alias("a"), F.least("line", "pivot").alias("b")).distinct(),
         "line-stars",
     )
-    links = staged(_verify(stars, docs, min_chars, edits), "line-links")
+    # lines that share a key: the same plan at every size, whether few or many
+    texts = staged(
+        _line_texts(docs, min_chars, edits)
+        .join(live.select("line").distinct().hint("merge"), "line", "left_semi")
+        .dropDuplicates(["line"]),
+        "line-texts",
+    )
+    links = staged(_verify(stars, texts, edits), "line-links")
     groups = staged(connected_components(links), "line-groups")
 
     placed = live.join(groups, live["line"] == groups["node"], "left").select(
         "key", "line", "indexed", F.coalesce("root", "line").alias("root")
     )
     open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    rest = staged(placed.join(open_keys, "key"), "line-open")
-    x = rest.where("indexed = 1").select("key", F.col("line").alias("x"), F.col("root").alias("x_root"))
-    y = rest.select("key", F.col("line").alias("y"), F.col("root").alias("y_root"))
+    rest = staged(
+        placed.join(open_keys, "key")
+        .join(texts.drop("chars"), "line")
+        .select("key", "line", "indexed", "root", "s1", "s2", F.explode("parts").alias("part")),
+        "line-open",
+    )
+    x = rest.where("indexed = 1").select("key", "part", *[F.col(c).alias(f"x_{c}") for c in ("line", "root", "s1", "s2")])
+    y = rest.select("key", "part", *[F.col(c).alias(f"y_{c}") for c in ("line", "root", "s1", "s2")])
     more = (
-        x.join(y, "key").where("x_root <> y_root")
-        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+        x.join(y, ["key", "part"])
+        .where("x_root <> y_root")
+        .where(_sketch_distance("x_s", "y_s") <= 2 * edits)
+        .select(F.greatest("x_line", "y_line").alias("a"), F.least("x_line", "y_line").alias("b")).distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
-    found = staged(_verify(staged(more, "line-candidates"), docs, min_chars, edits), "line-more-links")
+    found = staged(_verify(staged(more, "line-candidates"), texts, edits), "line-more-links")
     root_of = lambda c: groups.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
     bridges = found.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
         F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")
