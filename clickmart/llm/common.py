@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..sinks.writers import stage
 
 #: Bytes of text handled at once by the vectorised helpers (a longer text is a slice of its own).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _U = np.uint64
 
