@@ -49,7 +49,7 @@ HEADLINE = [
     "submission",
 ]
 
-ONCE = {"evaluate_all", "train_save_all", "submission"}
+ONCE = {"train_svm", "train_svm_norm", "evaluate_all", "train_save_all", "submission"}
 
 
 def run(spark, fn, sf_dir: str) -> float:
