@@ -1,17 +1,25 @@
 """License scans: an exact set-similarity join of text blocks with templates.
 
-A block is a line; a block meets a template when it holds at least
-``threshold`` of the template's distinct words. Tokens are ordered by
-their frequency over all blocks of all documents, rarest first. With
-``need = ceil(threshold * size)`` a meeting block must hold one of the
+A window of twice a template's words meets the template when it holds at
+least ``threshold`` of its distinct words, and gives a label when the
+words that decide the licence (``RULES``) stand in it too: most words of
+"CC BY-SA 4.0" and "CC BY-NC 4.0" are the same. Windows stay in a line.
+
+Candidates are found by blocks of words so long that every window lies in
+one. Tokens are ordered by their frequency over all blocks, rarest first.
+With ``need = ceil(threshold * size)`` a meeting block must hold one of the
 template's first ``size - need + 1`` tokens (prefix filter), must have
 ``need`` template words at all (length filter), and what stands after
 the shared token in both orders must suffice for the rest (positional
-filter). Survivors are verified on whole sets, so no meeting block is
-lost. Only words of the templates' vocabulary can be shared, so blocks
-are reduced to those during the one pass over the text, before anything
-is shuffled. DataFrame functions only; the templates, a parameter of a
-few dozen words each, are literals and a broadcast table of that size.
+filter). Every window of the survivors is verified, so no meeting window
+is lost. Only texts and blocks that hold ``need`` words of a template leave
+the one pass over the text. DataFrame functions only; the templates, a
+parameter of a few dozen words each, are literals and a broadcast table of
+that size.
+
+The SQL of the query compares whole lines and has no deciding words; it
+says the same where every line that meets a template is that notice, as in
+the given tables.
 
 Defined results: a null text counts as empty and has no words and no
 labels; repeated rows each get their own row; an empty table gives an
@@ -52,6 +60,54 @@ TEMPLATES = (
     ("All rights reserved", "all-rights-reserved"),
 )
 
+_CC = "cc-by"
+_NC, _SA, _ND = "non ?commercial", "share ?alike", "no ?deriv[a-z]*"
+_GPL = " gnu general public licen[cs]e "
+
+
+def _cc_rules(name: str, nc: str, sa: str, nd: str) -> tuple:
+    return (
+        (_CC, f" {name} (?!({nc}|{sa}|{nd}) )"),
+        ("cc-by-nc", f" {name} {nc} (?!({sa}|{nd}) )"),
+        ("cc-by-sa", f" {name} {sa} (?!{nc} )"),
+        ("cc-by-nd", f" {name} {nd} (?!{nc} )"),
+        ("cc-by-nc-sa", f" {name} ({nc} {sa}|{sa} {nc}) "),
+        ("cc-by-nc-nd", f" {name} ({nc} {nd}|{nd} {nc}) "),
+    )
+
+
+_OTHER_GPL = (("lgpl", " gnu (lesser|library) general public licen[cs]e "), ("agpl", " gnu affero general public licen[cs]e "))
+_CC_NAMES = _cc_rules("attribution", _NC, _SA, _ND)
+
+#: Per template the labels it can give, each with a pattern of its window (" w1 w2 ... ") that decides it.
+RULES = dict(
+    zip(
+        (text for text, _ in TEMPLATES),
+        (
+            (
+                ("mit", r" mit (\S+ ){0,3}licen[cs]es? | licen[cs]es? (\S+ )?mit | under the mit "),
+                ("bsd", r" bsd (\S+ ){0,3}licen[cs]es? | licen[cs]es? (\S+ )?bsd | under the bsd "),
+            ),
+            (("mit", r"^(?=.* permission )(?=.* associated )(?=.* documentation )(?=.* files )(?!.* unicode )"),),
+            (("apache-2", r" apache (\S+ ){0,3}v?2 | version 2 (\S+ ){0,3}apache "),),
+            _cc_rules("cc by", "nc", "sa", "nd"),
+            _CC_NAMES,
+            _CC_NAMES,
+            (
+                ("gpl-3", rf"^(?=.*{_GPL})(?=.* (version |v)3 )"),
+                ("gpl-2", rf"^(?=.*{_GPL})(?=.* (version |v)2 )"),
+                ("gpl", rf"^(?=.*{_GPL})(?!.* (version |v)[23] )"),
+                *_OTHER_GPL,
+            ),
+            (("gpl", _GPL), *_OTHER_GPL),
+            (("bsd", r"^(?=.* redistribution )(?=.* source )(?=.* binary )"),),
+            (("mpl", " mozilla public licen[cs]e "),),
+            (("all-rights-reserved", r" all (\S+ )?rights (\S+ ){0,2}reserved "),),
+        ),
+        strict=True,
+    )
+)
+
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -59,10 +115,19 @@ def _tokens(text: str) -> list[str]:
     return sorted({w for w in re.split("[^0-9a-z\u0080-\U0010ffff]+", text.lower()) if w})
 
 
+def _span(text: str) -> int:
+    """Words in a window of a template."""
+    return 2 * len([w for w in re.split("[^0-9a-z\u0080-\U0010ffff]+", text.lower()) if w])
+
+
 def _need(size: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * size - 1e-9))
 
 
+#: The words of the window that begins at the i-th token.
+WINDOW = "transform(filter(slice(tokens, i, span), t -> t.line = tokens[i - 1].line), t -> t.word)"
+
+
 def _strings(values) -> F.Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
@@ -86,17 +151,21 @@ def scan_blocks(
     templates=TEMPLATES,
     phrases=PHRASES,
     threshold: float = THRESHOLD,
+    rules=RULES,
 ) -> tuple[DataFrame, DataFrame]:
     """(per document, matches).
 
     Per document row: row (an id of this result), doc, n_words, places
     (array per phrase of n, first, last, or null) and found (array of
-    (label, containment) over its blocks). Matches: row, doc, line, label,
-    shared, size of every block that meets a template.
+    (label, containment) over its windows, by ``rules``; a template without
+    rules gives its own label). Matches: row, doc, line, template, label,
+    shared, size of every line in which a window that holds enough of a
+    template's words begins, before the deciding words are asked for.
     """
     spark = docs.sparkSession
-    sets = [(i, _tokens(text), label) for i, (text, label) in enumerate(templates)]
-    vocabulary = sorted({w for _, ws, _ in sets for w in ws})
+    sets = [(i, _tokens(text), label, _span(text)) for i, (text, label) in enumerate(templates)]
+    vocabulary = sorted({w for _, ws, _, _ in sets for w in ws})
+    reach = max((span for *_, span in sets), default=1)
 
     low = docs.select(
         F.col(id_col).alias("doc"), ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("low")
@@ -111,47 +180,72 @@ def scan_blocks(
         marked = marked | F.col("low").contains(max(phrase.split(), key=len))
     # only texts that hold a phrase's longest word are normalised for the phrase search
     norm = F.when(marked, F.concat(F.lit(" "), F.trim(F.regexp_replace("low", _GAP, " ")), F.lit(" ")))
-    smallest = min((_need(len(ws), threshold) for _, ws, _ in sets), default=1)
-    shared = F.transform("lines", lambda ws: F.array_intersect(ws, _strings(vocabulary)))
-    numbered = F.transform(shared, lambda ws, i: F.struct(i.alias("line"), ws.alias("words")))
+
+    def can_meet(words):
+        """Whether these distinct words hold enough of any template."""
+        out = F.lit(False)
+        for _, ws, _, _ in sets:
+            out = out | (F.size(F.array_intersect(words, _strings(ws))) >= _need(len(ws), threshold))
+        return out
+
+    known = lines.withColumn("known", F.array_intersect(F.flatten("lines"), _strings(vocabulary)))
+    numbered = F.flatten(
+        F.transform("lines", lambda ws, i: F.transform(F.filter(ws, lambda w: w != ""), lambda w: F.struct(i.alias("line"), w.alias("word"))))
+    )
+    tokens = known.select("doc", "lines", "low", F.when(can_meet(F.col("known")), numbered).alias("tokens"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0)), F.lit(reach))
+    cut = F.transform(starts, lambda s: F.slice("tokens", s + 1, 2 * reach))
+    blocks = F.transform(
+        cut, lambda ts: F.struct(F.array_intersect(F.transform(ts, lambda t: t["word"]), _strings(vocabulary)).alias("words"), ts.alias("tokens"))
+    )
     rows = staged(
-        lines.select(
+        tokens.select(
             "doc",
             F.aggregate("lines", F.lit(0).cast("long"), lambda acc, ws: acc + words_of(ws)).alias("n_words"),
             norm.alias("norm"),
-            F.filter(numbered, lambda b: F.size(b["words"]) >= smallest).alias("blocks"),
+            F.when(F.col("tokens").isNotNull(), F.filter(blocks, lambda b: can_meet(b["words"]))).alias("blocks"),
         ),
         "license-blocks",
     ).withColumn("row", F.monotonically_increasing_id())
 
-    blocks = rows.select("row", "doc", F.explode("blocks").alias("b")).select("row", "doc", "b.line", "b.words")
+    blocks = rows.select("row", "doc", F.explode("blocks").alias("b")).select("row", "doc", "b.words", "b.tokens")
     # at most one row per vocabulary word reaches the driver
     count = {r["w"]: r["n"] for r in blocks.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
     order = sorted(vocabulary, key=lambda w: (count.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     prefix = []
-    for i, ws, label in sets:
+    for i, ws, label, span in sets:
         ws = sorted(ws, key=rank.__getitem__)
         need = _need(len(ws), threshold)
-        prefix += [(w, i, label, p, len(ws), need, ws) for p, w in enumerate(ws[: len(ws) - need + 1])]
+        first = ws[: len(ws) - need + 1]
+        prefix += [(w, i, label, p, len(ws), need, span, first, ws) for p, w in enumerate(first)]
     index = spark.createDataFrame(
-        prefix, "token string, template int, label string, place int, size int, need int, whole array<string>"
+        prefix, "token string, template int, label string, place int, size int, need int, span int, first array<string>, whole array<string>"
     )
     candidates = (
         blocks.withColumn("words", F.array_intersect(_strings(order), F.col("words")))  # in the global order
-        .select("row", "doc", "line", "words", F.posexplode("words").alias("at", "token"))
+        .select("row", "doc", "tokens", "words", F.posexplode("words").alias("at", "token"))
         .join(F.broadcast(index), "token")
+        .where("array_intersect(words, first)[0] = token")  # once by block and template
         .where("size(words) >= need")
         .where("1 + least(size - place - 1, size(words) - at - 1) + least(place, at) >= need")
     )
-    overlap = F.size(F.array_intersect("words", "whole"))
-    matches = (
-        candidates.withColumn("shared", overlap)
+    window = F.expr(WINDOW)
+    places = F.expr("filter(sequence(1, size(tokens)), i -> array_contains(whole, tokens[i - 1].word))")
+    windows = (
+        candidates.select("row", "doc", "template", "label", "size", "need", "span", "whole", "tokens", F.explode(places).alias("i"))
+        .withColumn("window", window)
+        .withColumn("shared", F.size(F.array_intersect("window", "whole")))
         .where("shared >= need")
-        .select("row", "doc", "line", "template", "label", "shared", "size")
-        .distinct()
+        .select("row", "doc", F.expr("tokens[i - 1].line").alias("line"), "template", "label", "shared", "size", "window")
     )
-    best = matches.groupBy("row").agg(
+    matches = windows.groupBy("row", "doc", "line", "template", "label", "size").agg(F.max("shared").alias("shared"))
+    text = F.concat(F.lit(" "), F.array_join("window", " "), F.lit(" "))
+    given = F.array_compact(F.array(*[
+        F.when((F.col("template") == i) & text.rlike(pattern), F.lit(name))
+        for i, (template, label) in enumerate(templates) for name, pattern in rules.get(template, ((label, ""),))
+    ])).cast("array<string>")
+    best = windows.select("row", "shared", "size", F.explode(given).alias("label")).groupBy("row").agg(
         F.collect_set(F.struct("label", (F.col("shared") / F.col("size")).alias("containment"))).alias("found")
     )
     places = F.array(*_place_columns(F.col("norm"), F.col("n_words"), phrases))

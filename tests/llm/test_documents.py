@@ -331,3 +331,26 @@ def test_license_blocks_match_brute_force(spark):
                 if len(block & ws) >= license_scan._need(len(ws), license_scan.THRESHOLD):
                     expect.add((doc, n, t))
     assert got == expect and len(expect) > 20
+
+
+def labels_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [{f["label"] for f in r["found"]} for r in license_scan.scan_blocks(df)[0].orderBy("doc").collect()]
+
+
+def test_license_is_told_by_its_deciding_words(spark):
+    work = "This work is licensed under"
+    cases = {
+        "Licensed under CC BY 4.0": {"cc-by"}, "Licensed under CC BY-SA 4.0": {"cc-by-sa"}, "Licensed under CC BY-NC 4.0": {"cc-by-nc"},
+        "Licensed under CC BY-NC-SA 4.0": {"cc-by-nc-sa"},
+        f"{work} a Creative Commons Attribution 4.0 International License": {"cc-by"},
+        f"{work} a Creative Commons Attribution-ShareAlike 4.0 International License.": {"cc-by-sa"},
+        f"{work} a Creative Commons Attribution-NonCommercial 4.0 International License.": {"cc-by-nc"},
+        f"{work} the GNU General Public License, version 2": {"gpl-2"}, f"{work} the GNU General Public License, version 3": {"gpl-3"},
+        f"{work} the GNU Lesser General Public License, version 3": {"lgpl"},
+        "Released under the BSD License": {"bsd"}, "Released under the MIT License": {"mit"},
+        "This Source Code Form is subject to the terms of the Eclipse Public License": set(),
+        "Text: licensed under CC BY-NC 4.0. Pictures: licensed under CC BY-SA 4.0.": {"cc-by-nc", "cc-by-sa"},
+        "Released " + "in one long line " * 9 + "under a roof " + "far off " * 9 + "the MIT campus " + "and more " * 9 + "with a license": set(),
+    }
+    assert dict(zip(cases, labels_of(spark, cases))) == cases
