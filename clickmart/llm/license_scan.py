@@ -3,7 +3,8 @@
 A window of twice a template's words meets the template when it holds at
 least ``threshold`` of its distinct words, and gives a label when the
 words that decide the licence (``RULES``) stand in it too: most words of
-"CC BY-SA 4.0" and "CC BY-NC 4.0" are the same. Windows stay in a line.
+"CC BY-SA 4.0" and "CC BY-NC 4.0" are the same. Windows run on from line to
+line, as notices are wrapped.
 
 Candidates are found by blocks of words so long that every window lies in
 one. Tokens are ordered by their frequency over all blocks, rarest first.
@@ -18,8 +19,8 @@ parameter of a few dozen words each, are literals and a broadcast table of
 that size.
 
 The SQL of the query compares whole lines and has no deciding words; it
-says the same where every line that meets a template is that notice, as in
-the given tables.
+says the same where every line that meets a template is that notice and
+none is wrapped, as in the given tables.
 
 Defined results: a null text counts as empty and has no words and no
 labels; repeated rows each get their own row; an empty table gives an
@@ -125,7 +126,7 @@ def _need(size: int, threshold: float) -> int:
 
 
 #: The words of the window that begins at the i-th token.
-WINDOW = "transform(filter(slice(tokens, i, span), t -> t.line = tokens[i - 1].line), t -> t.word)"
+WINDOW = "transform(slice(tokens, i, span), t -> t.word)"
 
 
 def _strings(values) -> F.Column:

@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -354,3 +355,13 @@ def test_license_is_told_by_its_deciding_words(spark):
         "Released " + "in one long line " * 9 + "under a roof " + "far off " * 9 + "the MIT campus " + "and more " * 9 + "with a license": set(),
     }
     assert dict(zip(cases, labels_of(spark, cases))) == cases
+
+
+def test_wrapped_license_notices(spark):
+    mit, gpl, bsd = (license_scan.TEMPLATES[i][0] for i in (1, 7, 8))
+    lead = prose(5, 300) + "\n"
+    wrapped = [lead + textwrap.fill(t, 40, initial_indent=mark, subsequent_indent=mark) + "\n" + prose(6, 90) for t in (mit, gpl, bsd) for mark in ("", " * ", "# ")]
+    assert labels_of(spark, wrapped) == [{x} for x in ("mit", "gpl", "bsd") for _ in range(3)]
+    # wherever a notice begins, it lies in one block whole
+    moved = [prose(7, n) + "\n" + textwrap.fill(gpl, 30) + "\n" + prose(8, 50) for n in range(1, 100, 7)]
+    assert labels_of(spark, moved) == [{"gpl"}] * len(moved)
