@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -85,12 +86,13 @@ def _sums(chars: np.ndarray) -> np.ndarray:
 
 
 def _document_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc, key, n_lines and (number, chars, line hash) of the lines long enough."""
+    """doc, key, size (characters), n_lines and (number, chars, line hash) of the lines long enough."""
     entry = pa.struct([("number", pa.int32()), ("chars", pa.int32()), ("line", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             null = batch.column("text").is_null().to_numpy(zero_copy_only=False)
+            sizes = pc.utf8_length(batch.column("text")).cast(pa.int64())
             for lo, hi, data, offsets in text_slices(batch.column("text")):
                 chars, row, number, start, end = _lines(data, offsets)
                 long = np.flatnonzero(end - start >= min_chars)
@@ -105,13 +107,13 @@ def _document_lines(docs: DataFrame, min_chars: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc").slice(lo, hi - lo), batch.column("key").slice(lo, hi - lo),
-                        pa.array(count.astype(np.int32)), pa.ListArray.from_arrays(pa.array(edge), entries),
+                        sizes.slice(lo, hi - lo), pa.array(count.astype(np.int32)), pa.ListArray.from_arrays(pa.array(edge), entries),
                     ],
-                    ["doc", "key", "n_lines", "lines"],
+                    ["doc", "key", "size", "n_lines", "lines"],
                 )
 
     kind = docs.schema["doc"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc {kind}, key bigint, n_lines int, lines array<struct<number:int,chars:int,line:bigint>>")
+    return docs.mapInArrow(run, f"doc {kind}, key bigint, size bigint, n_lines int, lines array<struct<number:int,chars:int,line:bigint>>")
 
 
 def _segment(length: np.ndarray, i: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -362,10 +364,17 @@ def line_groups(docs: DataFrame, min_chars: int, edits: int) -> DataFrame:
     )
 
 
-def repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS
-) -> DataFrame:
-    """Per document row: doc, key (xxhash64 of the text), n_lines, n_long, removed (sorted line numbers), removed_chars."""
+_PLACE = ("doc", "key", "number")
+
+
+def _place(*cols):
+    """A line's place, as it is ordered: null ids come last."""
+    doc, key, number = cols
+    return F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("doc"), F.col(key).alias("key"), F.col(number).alias("number"))
+
+
+def _noted_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, max_edits: int) -> tuple[DataFrame, DataFrame]:
+    """(documents with their lines, every place of the groups of two places or more with the group's root and first place)."""
     if min_chars <= max_edits:
         raise ValueError("min_chars must exceed max_edits")
     src = docs.select(
@@ -375,16 +384,18 @@ def repeated_lines(
     groups = staged(line_groups(src, min_chars, max_edits), "line-roots")
 
     seen = noted.select("doc", "key", F.explode("lines").alias("l")).select("doc", "key", "l.number", "l.chars", "l.line")
-    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "key", "number")
-    lines = seen.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    lines = seen.groupBy("line").agg(F.min(_place(*_PLACE)).alias("first"), F.count("*").alias("n"))
     heads = (
         lines.join(groups, "line", "left").withColumn("root", F.coalesce("root", "line"))
     )
     best = heads.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
-    repeats = heads.select("line", "root").join(best, "root").select("line", "first")
+    repeats = heads.select("line", "root").join(best, "root").select("line", "root", "first")
+    return noted, seen.join(repeats, "line")
+
+
+def _marked(noted: DataFrame, places: DataFrame) -> DataFrame:
     removed = (
-        seen.join(repeats, "line")
-        .where(~place.eqNullSafe(F.col("first")))
+        places.where(~_place(*_PLACE).eqNullSafe(F.col("first")))
         .groupBy("doc", "key")
         .agg(F.sort_array(F.collect_set("number")).alias("removed"), F.sum("chars").alias("removed_chars"))
         .select(F.col("doc").alias("r_doc"), F.col("key").alias("r_key"), "removed", "removed_chars")
@@ -395,6 +406,47 @@ def repeated_lines(
         "doc", "key", "n_lines", F.size("lines").alias("n_long"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
         F.coalesce("removed_chars", F.lit(0)).cast("long").alias("removed_chars"),
+        "size",
+    )
+
+
+def repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS
+) -> DataFrame:
+    """Per document row: doc, key (xxhash64 of the text), n_lines, n_long, removed (sorted line numbers), removed_chars."""
+    return _marked(*_noted_repeats(docs, id_col, text_col, min_chars, max_edits)).drop("size")
+
+
+def _passed_on(marks: DataFrame, places: DataFrame) -> DataFrame:
+    """``marks`` (with ``bare``) where each group keeps a line in a document that stays.
+
+    A group whose first place is in a bare document stays at its first place
+    in another one, or, where all its places are in bare documents, at its
+    first place, and that document is not bare then.
+    """
+    id_of = lambda df, doc, key: df.select(F.col(doc).alias("b_doc"), F.col(key).alias("b_key")).distinct()
+    bare = staged(id_of(marks.where("bare"), "doc", "key"), "line-bare")
+    is_bare = lambda doc, key: [F.col(doc).eqNullSafe(F.col("b_doc")), F.col(key) == F.col("b_key")]
+    roots = (
+        places.where(_place(*_PLACE).eqNullSafe(F.col("first")))
+        .join(bare, is_bare("doc", "key"), "left_semi").select("root").distinct()
+    )
+    held = places.join(roots, "root").join(bare.withColumn("gone", F.lit(True)), is_bare("doc", "key"), "left")
+    moved = staged(
+        held.groupBy("root", "first").agg(F.min(F.when(F.col("gone").isNull(), _place(*_PLACE))).alias("next")), "line-moved"
+    )
+    change = (
+        # the bare document's own line goes if another document has it, and stays otherwise; the other's stays
+        moved.select("first.*", F.col("next").isNull().alias("stays"))
+        .unionByName(moved.where("next is not null").select("next.*", F.lit(True).alias("stays")))
+        .groupBy("doc", "key")
+        .agg(F.collect_set(F.when(F.col("stays"), F.col("number"))).alias("back"), F.collect_set(F.when(~F.col("stays"), F.col("number"))).alias("off"))
+        .select(F.col("doc").alias("c_doc"), F.col("key").alias("c_key"), "back", "off")
+    )
+    return marks.join(change, [F.col("doc").eqNullSafe(F.col("c_doc")), F.col("key") == F.col("c_key")], "left").select(
+        "doc", "key",
+        F.when(F.col("back").isNull(), F.col("removed")).otherwise(F.array_union(F.array_except("removed", "back"), "off")).alias("removed"),
+        (F.col("bare") & (F.coalesce(F.size("back"), F.lit(0)) <= 0)).alias("bare"),
     )
 
 
@@ -406,20 +458,30 @@ def without_lines(text, removed):
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bare_share: float = 0.8, **options
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    bare_share: float = 0.8,
+    min_chars: int = MIN_CHARS,
+    max_edits: int = MAX_EDITS,
 ) -> DataFrame:
-    """The documents without repeated lines; one that loses ``bare_share`` of its characters or more goes altogether."""
-    marks = staged(repeated_lines(docs, id_col, text_col, **options).dropDuplicates(["doc", "key"]), "line-marks")
-    marks = marks.where("size(removed) > 0").select(
-        F.col("doc").alias("_m_doc"), F.col("key").alias("_m_key"), F.col("removed").alias("_m_removed"),
-        F.col("removed_chars").alias("_m_chars"),
+    """The documents without repeated lines; one that loses ``bare_share`` of its characters or more goes altogether.
+
+    Each group of repeated lines keeps one in a document that stays. What a
+    document that goes has of lines found nowhere else goes with it.
+    """
+    noted, places = _noted_repeats(docs, id_col, text_col, min_chars, max_edits)
+    places = staged(places, "line-places")
+    marks = staged(_marked(noted, places).dropDuplicates(["doc", "key"]), "line-marks")
+    marks = marks.where("size(removed) > 0").withColumn("bare", F.col("removed_chars") >= bare_share * F.col("size"))
+    marks = staged(_passed_on(marks, places), "line-passed-on").select(
+        F.col("doc").alias("_m_doc"), F.col("key").alias("_m_key"), F.col("removed").alias("_m_removed"), F.col("bare").alias("_m_bare")
     )
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
     joined = whole.join(marks, [whole["doc"].eqNullSafe(marks["_m_doc"]), whole["key"] == marks["_m_key"]], "left")
     text = F.col(f"row.{text_col}")
     fresh = F.when(F.col("_m_removed").isNull(), text).otherwise(without_lines(text, F.col("_m_removed")))
-    rest = F.col("_m_chars").isNull() | (F.col("_m_chars") < bare_share * F.char_length(text))
-    return joined.where(rest).select(
+    return joined.where("not coalesce(_m_bare, false)").select(
         *[(fresh if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
     )
 

@@ -136,6 +136,21 @@ def test_line_dedup_takes_effect(spark, edge_docs):
     assert {r["token"] for r in rows} == {"t"}
 
 
+def test_every_line_group_keeps_one_copy(spark):
+    x, y, z, w = (prose(50 + i, 5) for i in range(4))
+    base = prose(60, 240)
+    docs = [
+        (1, base), (2, base + "\n" + x),  # goes, and has the first x
+        (3, prose(61, 120) + "\n" + x), (4, prose(62, 120) + "\n" + x), (5, "\n".join([y] * 6)),  # 5 loses 5 of 6
+        (6, base + "\n" + z + "\n" + x + "\n" + w), (7, base + "\n" + z), (None, prose(63, 120) + "\n" + w),  # z is in bare documents only
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(df).collect()}
+    left = [line for text in got.values() for line in text]
+    assert all(left.count(line) == 1 for line in {line for _, text in docs for line in text.split("\n")})
+    assert set(got) == {1, 3, 4, 5, 6, None} and x in got[3] and got[5] == [y] and got[6] == [z] and w in got[None]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.text("abé\U0001f600 ", max_size=30), st.text("abé\U0001f600 ", max_size=30)), max_size=8), st.integers(1, 4))
 def test_banded_distance(pairs, edits):
