@@ -25,8 +25,13 @@ that multi-match-aware selection leaves (12 for t = 2). Steps:
 Lines are identified by 63 bits of a hash; two different lines among n
 meet by chance with a probability of about n * n / 2**64.
 
-Defined results: null text has no lines and stays null; shorter lines are
-never removed; rows with equal id and text count as one document; null ids
+Shorter lines are grouped by equality alone: lines of ``EXACT_CHARS``
+characters or more in at least ``EXACT_DOCS`` documents, and, where
+``own_times`` is given (as in the query), lines of ``OWN_CHARS`` or more that
+a document holds so many times. Rarer and shorter ones are ordinary
+sentences and stay.
+
+Defined results: null text has no lines and stays null; rows with equal id and text count as one document; null ids
 come last; other columns travel untouched, whatever their names; an empty
 table gives an empty table.
 """
@@ -47,6 +52,10 @@ from .components import connected_components
 
 MIN_CHARS = 32
 MAX_EDITS = 2
+#: Shorter lines are only compared for equality: of so many characters, in so many documents.
+EXACT_CHARS, EXACT_DOCS = 10, 5
+#: The same for lines that one document repeats: so many characters, so many times.
+OWN_CHARS, OWN_TIMES = 6, 5
 
 _U = np.uint64
 _SPACE = np.zeros(0x3001, bool)
@@ -373,23 +382,38 @@ def _place(*cols):
     return F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("doc"), F.col(key).alias("key"), F.col(number).alias("number"))
 
 
-def _noted_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, max_edits: int) -> tuple[DataFrame, DataFrame]:
+def _noted_repeats(
+    docs: DataFrame, id_col: str, text_col: str, min_chars: int, max_edits: int, own_times: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(documents with their lines, every place of the groups of two places or more with the group's root and first place)."""
     if min_chars <= max_edits:
         raise ValueError("min_chars must exceed max_edits")
     src = docs.select(
         F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col).cast("string")).alias("key"), F.col(text_col).cast("string").alias("text")
     )
-    noted = staged(_document_lines(src, min_chars), "document-lines")
+    shortest = min(min_chars, EXACT_CHARS if own_times is None else min(EXACT_CHARS, OWN_CHARS))
+    noted = staged(_document_lines(src, shortest), "document-lines")
     groups = staged(line_groups(src, min_chars, max_edits), "line-roots")
 
     seen = noted.select("doc", "key", F.explode("lines").alias("l")).select("doc", "key", "l.number", "l.chars", "l.line")
-    lines = seen.groupBy("line").agg(F.min(_place(*_PLACE)).alias("first"), F.count("*").alias("n"))
+    lines = seen.where(F.col("chars") >= min_chars).groupBy("line").agg(F.min(_place(*_PLACE)).alias("first"), F.count("*").alias("n"))
     heads = (
         lines.join(groups, "line", "left").withColumn("root", F.coalesce("root", "line"))
     )
     best = heads.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
     repeats = heads.select("line", "root").join(best, "root").select("line", "root", "first")
+
+    common = (F.col("chars") >= EXACT_CHARS) & (F.col("docs") >= EXACT_DOCS)
+    if own_times is not None:
+        common = common | ((F.col("chars") >= OWN_CHARS) & (F.col("most") >= own_times))
+    equal = (
+        seen.where(F.col("chars") < min_chars)
+        .groupBy("line", "chars", "doc", "key").agg(F.min("number").alias("number"), F.count("*").alias("n"))
+        .groupBy("line", "chars").agg(F.min(_place(*_PLACE)).alias("first"), F.count("*").alias("docs"), F.max("n").alias("most"))
+        .where(common)
+    )
+    repeats = repeats.unionByName(equal.select("line", F.col("line").alias("root"), "first"))
+    noted = noted.withColumn("n_long", F.size(F.filter("lines", lambda x: x["chars"] >= min_chars)))
     return noted, seen.join(repeats, "line")
 
 
@@ -403,7 +427,7 @@ def _marked(noted: DataFrame, places: DataFrame) -> DataFrame:
     return noted.join(
         removed, [noted["doc"].eqNullSafe(removed["r_doc"]), noted["key"] == removed["r_key"]], "left"
     ).select(
-        "doc", "key", "n_lines", F.size("lines").alias("n_long"),
+        "doc", "key", "n_lines", "n_long",
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
         F.coalesce("removed_chars", F.lit(0)).cast("long").alias("removed_chars"),
         "size",
@@ -411,10 +435,15 @@ def _marked(noted: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_chars: int = MIN_CHARS,
+    max_edits: int = MAX_EDITS,
+    own_times: int | None = None,
 ) -> DataFrame:
     """Per document row: doc, key (xxhash64 of the text), n_lines, n_long, removed (sorted line numbers), removed_chars."""
-    return _marked(*_noted_repeats(docs, id_col, text_col, min_chars, max_edits)).drop("size")
+    return _marked(*_noted_repeats(docs, id_col, text_col, min_chars, max_edits, own_times)).drop("size")
 
 
 def _passed_on(marks: DataFrame, places: DataFrame) -> DataFrame:
@@ -487,7 +516,7 @@ def dedup_lines(
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
-    rows = repeated_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    rows = repeated_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"), own_times=OWN_TIMES)
     return rows.select(
         F.col("doc").alias("doc_id"), F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
         F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed_lines"), "removed_chars",

@@ -136,6 +136,13 @@ def test_line_dedup_takes_effect(spark, edge_docs):
     assert {r["token"] for r in rows} == {"t"}
 
 
+def test_short_lines_are_grouped_by_equality(spark):
+    docs = [(i, f"{prose(80 + i, 12)}\nSubscribe now!\nYes.") for i in range(6)] + [(7, "\n".join(["Was eran."] * 7)), (8, "Was here, too\nWas here, too")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r["doc"]: r["removed"] for r in line_dedup.repeated_lines(df, own_times=line_dedup.OWN_TIMES).collect()}
+    assert got == {0: []} | {i: [1] for i in range(1, 6)} | {7: [1, 2, 3, 4, 5, 6], 8: []}
+
+
 def test_every_line_group_keeps_one_copy(spark):
     x, y, z, w = (prose(50 + i, 5) for i in range(4))
     base = prose(60, 240)
