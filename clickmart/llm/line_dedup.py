@@ -1,9 +1,11 @@
 """Line dedup by a segment-partition edit join.
 
 A line (white space at its ends cut off) of at least ``min_chars``
-characters is a repeat when an earlier line is equal to it or at most
-``max_edits`` character edits away; repeats go, the first line of each
-group stays. Earlier means the lesser document id, then the line number.
+characters is linked to every line that is equal to it or at most
+``max_edits`` character edits away. A group is a connected component of
+those links, so two of its lines can be further apart than that; its first
+line stays and all others go, whether or not they are linked to an earlier
+one. First means the least document id, then the line number.
 
 Two lines within t edits share one of t + 1 segments: a line of length L is
 cut into t + 1 even segments, indexed under (L, segment number, segment);
