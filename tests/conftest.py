@@ -6,10 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SMALL = "/root/testdata/sf0.001"
-MEDIUM = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     from clickmart.session import build_session
@@ -31,6 +27,7 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def duck_small():
     from oracle_check import duck
+    from tables import SMALL
 
     return duck(SMALL)
 
@@ -38,5 +35,6 @@ def duck_small():
 @pytest.fixture(scope="session")
 def duck_medium():
     from oracle_check import duck
+    from tables import MEDIUM
 
     return duck(MEDIUM)

@@ -1,6 +1,6 @@
 """Cross-form checks and invariants on the generated tables."""
 
-from conftest import MEDIUM, SMALL
+from tables import MEDIUM, SMALL
 from pyspark.sql import functions as F
 
 from clickmart.operators import features, shares

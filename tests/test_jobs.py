@@ -1,7 +1,7 @@
 """End-to-end jobs over CSV files written from the sf0.001 views."""
 
 import pytest
-from conftest import SMALL
+from tables import SMALL
 
 from clickmart.plans import jobs
 from clickmart.plans.catalog import all_queries

@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from conftest import SMALL
+from tables import SMALL
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F

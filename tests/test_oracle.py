@@ -1,7 +1,7 @@
 """Every catalog query with SQL equals its DuckDB oracle (driver contract)."""
 
 import pytest
-from conftest import MEDIUM, SMALL
+from tables import MEDIUM, SMALL
 from oracle_check import compare
 
 from __spark_entry__ import entry

@@ -1,6 +1,6 @@
 """Physical-plan checks: the shapes the package is designed around."""
 
-from conftest import MEDIUM
+from tables import MEDIUM
 
 from clickmart.plans.catalog import all_queries
 
