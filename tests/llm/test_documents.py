@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import BASE, EDGE, LONG, prose
+from hard_rows import BASE, EDGE, LONG, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -3,7 +3,7 @@
 import itertools
 
 import pytest
-from conftest import BASE, LONG, prose
+from hard_rows import BASE, LONG, prose
 from test_documents import brute_hits, brute_lines, components, key, shingle_set
 
 import corpus_pipeline
