@@ -1,5 +1,5 @@
-"""DataFrame operators: filters, joins, counts, top-k, shares, pair features."""
+"""DataFrame operators: filters, joins, counts, exact ranks, top-k, shares, pair features."""
 
-from . import aggregates, features, filters, joins, ranking, shares
+from . import aggregates, features, filters, joins, ordering, ranking, shares
 
-__all__ = ["aggregates", "features", "filters", "joins", "ranking", "shares"]
+__all__ = ["aggregates", "features", "filters", "joins", "ordering", "ranking", "shares"]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..schemas import DEFAULT_DAY, TOP_K
 from . import filters
 from .aggregates import count_by
+from .ordering import running
 
 
 def _order(key: str, count_col: str):
@@ -36,6 +37,16 @@ def sorted_counts(counts: DataFrame, key: str, count_col: str = "n") -> DataFram
     return counts.orderBy(*_order(key, count_col))
 
 
+def rank_all(counts: DataFrame, key: str, count_col: str = "n") -> DataFrame:
+    """All counts with their 1-based rank (F2, F3, G1): what the original jobs numbered before they cut at k.
+
+    Exact and distributed (see ``ordering.running``): ranges of the order,
+    a rank inside each and the rows before it. Ties go by id.
+    """
+    ranked = running(counts, _order(key, count_col), position="rank")
+    return ranked.select("rank", key, count_col)
+
+
 def item_counts(log: DataFrame, day: str | None = DEFAULT_DAY) -> DataFrame:
     """Non-click actions per item on ``day``."""
     return count_by(filters.day_engaged(log, day).select("item_id"), "item_id")

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, filters, joins, ranking, shares
+from ..operators.aggregates import count_by
+from ..operators.ordering import running
 from ..schemas import LOG_COLUMNS, LOG_SCHEMA
 from ..session import fresh_dir
 from ..sinks import write, write_lines
@@ -277,6 +279,21 @@ def q_sorted_item_counts(spark, d):
     return ranking.sorted_counts(counts, "item_id")
 
 
+@query("item_ranks")
+def q_item_ranks(spark, d):
+    """Every item with its exact rank by engaged actions of the whole log."""
+    return ranking.rank_all(ranking.item_counts(_log(spark, d, *_RANK_LOG), day=None), "item_id")
+
+
+@query("seller_item_ranks")
+def q_seller_item_ranks(spark, d):
+    """Every (seller, item) pair with its rank within the seller and the running share of the seller's actions."""
+    log = filters.day_engaged(_log(spark, d, "item_id", "seller_id", "time_stamp", "action_type"), None)
+    counts = count_by(log, ["seller_id", "item_id"])
+    order = [F.col("n").desc(), F.col("item_id").asc_nulls_last()]
+    return running(counts, order, groups=["seller_id"], totals={"running_n": "n"}, position="rank")
+
+
 @query("log_preview")
 def q_log_preview(spark, d):
     # ordered by user, every other column breaks ties: a deterministic 10

@@ -236,6 +236,16 @@ select user_id, merchant_id, one_clicks, shopping_carts, purchase_times, favor_t
     "sorted_item_counts": """
 select item_id, count(*) as n from user_log
 where time_stamp like '11%' and action_type is distinct from 0 group by item_id
+""",
+    "item_ranks": """
+select row_number() over (order by n desc, item_id asc nulls last) as rank, item_id, n
+from (select item_id, count(*) as n from user_log where action_type is distinct from 0 group by item_id)
+""",
+    "seller_item_ranks": """
+select seller_id, item_id, n,
+       row_number() over (partition by seller_id order by n desc, item_id asc nulls last) as rank,
+       cast(sum(n) over (partition by seller_id order by n desc, item_id asc nulls last) as bigint) as running_n
+from (select seller_id, item_id, count(*) as n from user_log where action_type is distinct from 0 group by 1, 2)
 """,
     "log_preview": """
 select * from user_log
