@@ -9,6 +9,7 @@ from .html_extraction import op7_html_extraction
 from .language_id import op4_language_id
 from .license_scan import OP10_SQL, op10_license_scan
 from .line_dedup import op3_line_dedup
+from .merkle_manifest import OP13_SQL, op13_merkle_manifest
 from .ngram_join import OP2_SQL, op2_ngram_join
 from .pattern_packing import op6_pattern_packing
 from .url_filter import op5_url_filter
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_license_scan": op10_license_scan,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -32,6 +34,7 @@ ORACLE_SQL = {
     "op8_chat_format": OP8_SQL,
     "op9_decontaminate": OP9_SQL,
     "op10_license_scan": OP10_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
 
 
