@@ -12,6 +12,7 @@ from .line_dedup import op3_line_dedup
 from .merkle_manifest import OP13_SQL, op13_merkle_manifest
 from .ngram_join import OP2_SQL, op2_ngram_join
 from .pattern_packing import op6_pattern_packing
+from .sharding import op11_sharding
 from .token_alignment import op12_token_alignment
 from .url_filter import op5_url_filter
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_license_scan": op10_license_scan,
+    "op11_sharding": op11_sharding,
     "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
