@@ -7,6 +7,8 @@ Spark ML models on the whole feature table and are checked by row count.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
@@ -14,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..ml import metrics, models
+from ..ml import metrics, models, trees
 from ..operators import features
 from ..schemas import FEATURES
 from ..session import fresh_dir
-from ..sinks import libsvm_lines, write_libsvm
+from ..sinks import libsvm_lines, stage, write_libsvm
 from ..sources import fixtures, read_libsvm
 from .catalog import feature_table, query
 
@@ -232,3 +234,89 @@ def q_tree_leaf_counts(spark, d):
     tree = models.train(data, "dt").stages[-1].setLeafCol("leaf")
     leaves = tree.transform(data).groupBy("leaf", "label").agg(F.count("*").alias("n"))
     return leaves.groupBy("label").agg(F.sum("n").alias("n"))
+
+
+TREE_KINDS = ("dt", "rf", "gbt")
+
+
+def _tree_parts(spark: SparkSession, d: str):
+    """(kind, model, node table, trees, depth) of the three tree models, and the rows."""
+    data = _assembled(spark, d)
+    parts = []
+    for kind in TREE_KINDS:
+        model = models.train(data, kind)
+        last = model.stages[-1]
+        count = 1 if kind == "dt" else last.getNumTrees
+        parts.append((kind, model, trees.save_nodes(model, spark), count, last.getOrDefault("maxDepth")))
+    return data, parts
+
+
+@query("tree_nodes")
+def q_tree_nodes(spark, d):
+    """Node tables of the tree models held against the rows.
+
+    Per model: rows at the first tree's root (a forest's trees are grown on
+    resampled rows: those of the routed rows), inner nodes whose children do
+    not add up, and leaves whose rows are not those routed there (NULL for
+    the forest).
+    """
+    data, parts = _tree_parts(spark, d)
+    out = []
+    for kind, _, nodes, count, depth in parts:
+        reached = trees.route(nodes, data, count, depth).groupBy("tree", "node").agg(F.count("*").alias("reached"))
+        leaves = nodes.where("feature is null").join(reached, ["tree", "node"], "left")
+        wrong = F.count_if(F.coalesce("reached", F.lit(0)) != F.col("rows"))
+        out.append(
+            leaves.agg(
+                F.sum(F.when(F.col("tree") == 0, F.col("reached"))).alias("root_rows"),
+                (F.lit(None).cast("long") if kind == "rf" else wrong).alias("wrong_leaves"),
+            ).select(F.lit(kind).alias("model"), F.lit(count).alias("trees"), "root_rows", "wrong_leaves",
+                     F.lit(trees.broken_sums(nodes).count()).alias("broken_sums"))
+        )
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+@query("tree_routes")
+def q_tree_routes(spark, d):
+    """Predictions by routing every row through the node tables against the models' own."""
+    data, parts = _tree_parts(spark, d)
+    out = []
+    for kind, model, nodes, count, depth in parts:
+        ours = trees.tree_scores(trees.route(nodes, data, count, depth), kind).withColumnsRenamed({"prediction": "p", "score": "s"})
+        own = models.score(model, data)
+        same = own.join(ours, list(features.PAIR_KEYS), "left")
+        out.append(
+            same.select(
+                F.lit(kind).alias("model"), *features.PAIR_KEYS, F.col("prediction").eqNullSafe(F.col("p")).alias("same_label"),
+                (F.round(F.abs(F.col("score") - F.col("s")), 9) + 0.0).alias("score_gap"),
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+@query("tree_root_split")
+def q_tree_root_split(spark, d):
+    """The best first Gini split of all pairs (K5)."""
+    rows = _assembled(spark, d).select(F.lit(0).alias("node"), "label", vector_to_array("features").alias("x"))
+    return trees.best_splits(trees.label_histograms(rows)).drop("node")
+
+
+GROWN_DEPTH = 3
+
+
+@query("tree_grown")
+def q_tree_grown(spark, d):
+    """A Gini tree of three levels grown from label histograms (K5)."""
+    grown = trees.grow(_assembled(spark, d), GROWN_DEPTH)
+    return grown.select("node", "feature", "threshold", "gain", "rows", F.col("stats")[1].cast("long").alias("positives"))
+
+
+@query("tree_grown_scores")
+def q_tree_grown_scores(spark, d):
+    """Every pair routed through the grown tree: leaf and positive share."""
+    data = _assembled(spark, d)
+    nodes = stage(trees.grow(data, GROWN_DEPTH), spark, "grown")
+    routed = trees.route(nodes, data, 1, GROWN_DEPTH)
+    return routed.select(
+        *features.PAIR_KEYS, "node", F.round(F.col("stats")[1] / (F.col("stats")[0] + F.col("stats")[1]), 9).alias("score")
+    )

@@ -340,6 +340,19 @@ from pairs
 }
 
 
+SQL |= {
+    "tree_nodes": """
+select model, trees, (select count(*) from features_filled) as root_rows,
+       case when model <> 'rf' then 0 end as wrong_leaves, 0 as broken_sums
+from (values ('dt', 1), ('rf', 3), ('gbt', 3)) kinds(model, trees)
+""",
+    "tree_routes": """
+select model, user_id, merchant_id, true as same_label, 0.0 as score_gap
+from features_filled, (values ('dt'), ('rf'), ('gbt')) kinds(model)
+""",
+}
+
+
 def _svm_weights(steps: int = 4, reg: float = 0.01) -> str:
     """The gradient steps one after another, each a pass over all rows."""
     n = len(FEATURES)
@@ -379,8 +392,62 @@ from counts
 """
 
 
+def _grown(depth: int) -> str:
+    """Best Gini splits level by level: histograms per (node, feature, value), running sums, the first best."""
+    unpivot = " union all ".join(f"select rid, label, {i} as feature, cast({x} as double) as v from numbered" for i, x in enumerate(FEATURES))
+    out = f""", numbered as (select row_number() over () as rid, * from features_filled),
+cells as materialized ({unpivot}),
+at0 as (select rid, 0 as node from numbered)
+"""
+
+    def purity(neg: str, pos: str) -> str:
+        return f"(cast({neg} as double) * {neg} + cast({pos} as double) * {pos}) / ({neg} + {pos})"
+
+    for k in range(depth):
+        out += f""", hist{k} as (
+  select node, feature, v, count(*) filter (where label = 0) as neg, count(*) filter (where label = 1) as pos
+  from cells join at{k} using (rid) group by 1, 2, 3),
+sums{k} as (
+  select node, feature, v, lead(v) over w as nxt, sum(neg) over w as ln, sum(pos) over w as lp,
+         sum(neg) over (partition by node, feature) as n, sum(pos) over (partition by node, feature) as p
+  from hist{k} window w as (partition by node, feature order by v)),
+gains{k} as (
+  select node, feature, (v + nxt) / 2 as threshold, ln, lp, n - ln as rn, p - lp as rp,
+         round(({purity('ln', 'lp')} + {purity('(n - ln)', '(p - lp)')} - {purity('n', 'p')}) / (n + p), 9) as gain
+  from sums{k} where nxt is not null),
+best{k} as materialized (
+  select * from gains{k} where gain > 0
+  qualify row_number() over (partition by node order by gain desc, feature, threshold) = 1),
+at{k + 1} as materialized (
+  select a.rid, 2 * a.node + case when c.v <= b.threshold then 1 else 2 end as node
+  from at{k} a join best{k} b using (node) join cells c on c.rid = a.rid and c.feature = b.feature)
+"""
+    members = " union all ".join(f"select node, rid from at{k}" for k in range(depth + 1))
+    splits = " union all ".join(f"select node, feature, threshold, gain from best{k}" for k in range(depth))
+    return out + f""", members as ({members}), splits as ({splits}),
+grown as (
+  select m.node, any_value(s.feature) as feature, any_value(s.threshold) as threshold, any_value(s.gain) as gain,
+         count(*) as rows, count(*) filter (where f.label = 1) as positives
+  from members m join numbered f using (rid) left join splits s on s.node = m.node group by m.node)
+"""
+
+
+GROWN = _grown(3)
+
 # queries whose SQL continues the shared WITH list instead of starting a select
-CONTINUED = {"train_nb": _nb_predictions(), "svm_weights": _svm_weights(), "evaluate_nb": _evaluate_nb()}
+CONTINUED = {
+    "train_nb": _nb_predictions(),
+    "svm_weights": _svm_weights(),
+    "evaluate_nb": _evaluate_nb(),
+    "tree_root_split": _grown(1) + """
+select feature, threshold, gain, ln as left_neg, lp as left_pos, rn as right_neg, rp as right_pos from best0
+""",
+    "tree_grown": GROWN + "select * from grown",
+    "tree_grown_scores": GROWN + """
+select f.user_id, f.merchant_id, g.node, round(g.positives / g.rows, 9) as score
+from members m join grown g on g.node = m.node and (g.feature is null) join numbered f on f.rid = m.rid
+""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
