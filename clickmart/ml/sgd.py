@@ -27,6 +27,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks.writers import stage
+
 
 class _SGDParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPredictionCol):
     maxIter = Param(Params._dummy(), "maxIter", "number of gradient steps", TypeConverters.toInt)
@@ -34,13 +36,14 @@ class _SGDParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPrediction
     regParam = Param(Params._dummy(), "regParam", "L2 regularisation", TypeConverters.toFloat)
     tol = Param(Params._dummy(), "tol", "relative weight change that stops", TypeConverters.toFloat)
     threshold = Param(Params._dummy(), "threshold", "margin above which label 1", TypeConverters.toFloat)
+    weightCol = Param(Params._dummy(), "weightCol", "column with how often a row counts; empty: once", TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
         self._setDefault(
             maxIter=100, stepSize=1.0, regParam=0.01, tol=0.001, threshold=0.0,
             featuresCol="features", labelCol="label", predictionCol="prediction",
-            rawPredictionCol="rawPrediction",
+            rawPredictionCol="rawPrediction", weightCol="",
         )
 
 
@@ -54,25 +57,23 @@ def _margin(x: Column, weights: list[float]) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def gradient_step_sums(data: DataFrame, weights: list[float]) -> tuple[list[float], float, int]:
-    """Hinge sub-gradient sum, loss sum and row count at ``weights``.
+def gradient_step_sums(data: DataFrame, weights: list[float]) -> tuple[list[float], float, float]:
+    """Hinge sub-gradient sum, loss sum and number of rows at ``weights``.
 
-    ``data`` has ``x`` (array of doubles) and ``y`` (label scaled to -1/+1).
-    The margin is projected once per row; each row then adds ``c * x``
-    with ``c = -y`` where the hinge is active and 0 elsewhere.
+    ``data`` has distinct rows of ``x`` (array of doubles) and ``y`` (label
+    scaled to -1/+1) and their number ``k``. The margin is projected once
+    per row; each row then adds ``c * x`` with ``c = -k y`` where the hinge
+    is active and 0 elsewhere.
     """
-    x, y = F.col("x"), F.col("y")
-    with_margin = data.select("x", "y", _margin(x, weights).alias("m"))
-    m = F.col("m")
-    active = F.lit(1.0) > y * m
-    rows = with_margin.select(
-        "x",
-        F.when(active, -y).otherwise(0.0).alias("c"),
-        F.when(active, F.lit(1.0) - y * m).otherwise(0.0).alias("l"),
+    # as text, a step is a few calls into the JVM; the weights' text is folded to data, so no step compiles new code
+    at = f"transform(split('{','.join(map(repr, map(float, weights)))}', ','), v -> cast(v as double))"
+    margins = data.selectExpr("x", "y", "k", f"aggregate(zip_with(x, {at}, (a, b) -> a * b), 0.0D, (s, v) -> s + v) as m")
+    rows = margins.selectExpr(
+        "x", "k", "if(1.0D > y * m, -y * k, 0.0D) as c", "if(1.0D > y * m, (1.0D - y * m) * k, 0.0D) as l"
     )
-    sums = [F.sum(F.col("c") * x[j]).alias(f"g{j}") for j in range(len(weights))]
-    row = rows.agg(*sums, F.sum("l").alias("loss"), F.count(F.lit(1)).alias("n")).first()
-    return [row[f"g{j}"] or 0.0 for j in range(len(weights))], row["loss"] or 0.0, row["n"]
+    sums = [f"sum(c * x[{j}]) as g{j}" for j in range(len(weights))]
+    row = rows.selectExpr(*sums, "sum(l) as loss", "sum(k) as n").first()
+    return [row[f"g{j}"] or 0.0 for j in range(len(weights))], row["loss"] or 0.0, row["n"] or 0.0
 
 
 class SVMWithSGD(Estimator, _SGDParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -84,10 +85,12 @@ class SVMWithSGD(Estimator, _SGDParams, DefaultParamsReadable, DefaultParamsWrit
 
     def _fit(self, dataset: DataFrame) -> SVMWithSGDModel:
         g = self.getOrDefault
-        data = dataset.select(
+        # every step reads distinct rows only, stored in as few files as their size asks for
+        rows = dataset.groupBy(
             vector_to_array(g(self.featuresCol)).alias("x"),
             (F.col(g(self.labelCol)).cast("double") * 2.0 - 1.0).alias("y"),
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        ).agg(F.sum(F.col(g(self.weightCol)) if g(self.weightCol) else F.lit(1.0)).alias("k"))
+        data = stage(rows, dataset.sparkSession, "svm-rows").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             first = data.select(F.size("x").alias("d")).first()
             weights = [0.0] * (first["d"] if first else 0)

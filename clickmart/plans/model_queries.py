@@ -199,6 +199,40 @@ def q_evaluate_nb(spark, d):
     return metrics.summary(scored)
 
 
+def _nb_points(spark, d):
+    """Naive Bayes scores (to 9 digits) of all pairs, a row per distinct score."""
+    data = _assembled(spark, d)
+    scored = models.score(models.train(models.compressed(data), "nb"), data)
+    return stage(metrics.score_points(scored.withColumn("score", F.round("score", 9))), spark, "nb-points")
+
+
+@query("score_curve")
+def q_score_curve(spark, d):
+    """The ROC and PR curve of naive Bayes scores, a row per threshold."""
+    curve = metrics.score_curve(_nb_points(spark, d))
+    return curve.select("place", "score", "tp", "fp", *[F.round(c, 9).alias(c) for c in ("tpr", "fpr", "precision")])
+
+
+@query("score_areas")
+def q_score_areas(spark, d):
+    """Both exact areas of naive Bayes scores."""
+    return metrics.score_areas(metrics.score_curve(_nb_points(spark, d)))
+
+
+@query("evaluate_fitted_nb")
+def q_evaluate_fitted_nb(spark, d):
+    """``evaluate_all`` of naive Bayes: all its figures (Q9)."""
+    return models.evaluate_all(_assembled(spark, d), kinds=("nb",))
+
+
+@query("compressed_rows")
+def q_compressed_rows(spark, d):
+    """The distinct (label, features) rows that linear models are fitted on, and how often each stands in the table."""
+    rows = models.compressed(_assembled(spark, d))
+    x = vector_to_array("features")
+    return rows.select("label", *[x[i].alias(f) for i, f in enumerate(FEATURES)], "weight")
+
+
 SVM_STEPS = 4
 
 
@@ -210,6 +244,14 @@ def q_svm_weights(spark, d):
     return spark.createDataFrame(rows, "feature int, weight double")
 
 
+@query("svm_norm_weights")
+def q_svm_norm_weights(spark, d):
+    """Weights after the first gradient steps of the SVM on L2-normalised features."""
+    model = models.train(_assembled(spark, d), "svm_norm", maxIter=SVM_STEPS, tol=0.0).stages[-1]
+    rows = [(i, round(w, 6) + 0.0) for i, w in enumerate(model.getOrDefault("weights"))]  # one row per feature
+    return spark.createDataFrame(rows, "feature int, weight double")
+
+
 @query("lr_gradient")
 def q_lr_gradient(spark, d):
     """Logistic-regression gradient at the fitted weights, per feature, relative to the feature's sum (K3).

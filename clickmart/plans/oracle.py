@@ -346,6 +346,9 @@ select model, trees, (select count(*) from features_filled) as root_rows,
        case when model <> 'rf' then 0 end as wrong_leaves, 0 as broken_sums
 from (values ('dt', 1), ('rf', 3), ('gbt', 3)) kinds(model, trees)
 """,
+    "compressed_rows": "select cast(label as double) as label, "
+    + ", ".join(f"cast({f} as double) as {f}" for f in FEATURES)
+    + ", cast(count(*) as double) as weight from features_filled group by all",
     "tree_routes": """
 select model, user_id, merchant_id, true as same_label, 0.0 as score_gap
 from features_filled, (values ('dt'), ('rf'), ('gbt')) kinds(model)
@@ -353,10 +356,14 @@ from features_filled, (values ('dt'), ('rf'), ('gbt')) kinds(model)
 }
 
 
-def _svm_weights(steps: int = 4, reg: float = 0.01) -> str:
+def _svm_weights(steps: int = 4, reg: float = 0.01, normalised: bool = False) -> str:
     """The gradient steps one after another, each a pass over all rows."""
     n = len(FEATURES)
-    out = ", w0 as (select " + ", ".join(f"cast(0 as double) as a{i}" for i in range(n)) + ")\n"
+    squares = " + ".join(f"cast({x} as double) * {x}" for x in FEATURES)
+    scaled = ", ".join(f"case when norm = 0 then 0.0 else {x} / norm end as {x}" for x in FEATURES)
+    source = f"(select label, {scaled} from (select *, sqrt({squares}) as norm from features_filled))" if normalised else "features_filled"
+    out = f", rows_in as materialized (select * from {source})\n"
+    out += ", w0 as (select " + ", ".join(f"cast(0 as double) as a{i}" for i in range(n)) + ")\n"
     for t in range(1, steps + 1):
         rate = f"(1.0 / sqrt({t}.0))"
         margin = " + ".join(f"f.{x} * w.a{i}" for i, x in enumerate(FEATURES))
@@ -366,7 +373,7 @@ def _svm_weights(steps: int = 4, reg: float = 0.01) -> str:
             f" - {rate} * sum(case when {active} then -(2.0 * f.label - 1.0) * f.{x} else 0.0 end) / count(*) as a{i}"
             for i, x in enumerate(FEATURES)
         )
-        out += f", w{t} as (select {cols} from features_filled f, w{t - 1} w)\n"
+        out += f", w{t} as (select {cols} from rows_in f, w{t - 1} w)\n"
     return out + " union all ".join(f"select {i} as feature, round(a{i}, 6) as weight from w{steps}" for i in range(n))
 
 
@@ -434,10 +441,51 @@ grown as (
 
 GROWN = _grown(3)
 
+CURVE = """
+points as (
+  select score, count(*) filter (where label = 1) as pos, count(*) filter (where label = 0) as neg from scored group by score),
+curve as (
+  select row_number() over w as place, *, sum(pos) over w as tp, sum(neg) over w as fp,
+         sum(pos) over () as all_pos, sum(neg) over () as all_neg
+  from points window w as (order by score desc))
+"""
+AREAS = """
+select round(sum((fp - lag_fp) / all_neg * (tp + lag_tp) / all_pos / 2), 9) as score_auc,
+       round(sum((tp - lag_tp) / all_pos * (tp / (tp + fp) + lag_precision) / 2), 9) as score_aupr
+from (select *, coalesce(lag(tp) over w, 0) as lag_tp, coalesce(lag(fp) over w, 0) as lag_fp,
+             coalesce(lag(tp / (tp + fp)) over w, tp / (tp + fp)) as lag_precision
+      from curve window w as (order by score desc))
+"""
+
+
+def _nb_curve() -> str:
+    head, tail = _nb_predictions().split("\nselect user_id", 1)
+    return f"{head}\n, scored as (select user_id{tail}),{CURVE}"
+
+
+def _evaluate_fitted() -> str:
+    """``_evaluate_nb`` with the training error and the score's areas."""
+    body, last = _evaluate_nb().rsplit("\nselect round((fp", 1)
+    side = "(11 * 104729 + (user_id % 1000003) * 7919 + (merchant_id % 1000003) * 100121) % 1000003 % 10000"
+    return f"""{body},
+scored as (select * from predicted where {side} >= 6000),{CURVE},
+areas as ({AREAS}),
+held as (select round((fp{last})
+select 'nb' as model, held.*, areas.*,
+       (select round(avg(case when prediction <> label then 1.0 else 0.0 end), 9) from predicted where {side} < 6000) as train_error
+from held, areas
+"""
+
 # queries whose SQL continues the shared WITH list instead of starting a select
 CONTINUED = {
     "train_nb": _nb_predictions(),
     "svm_weights": _svm_weights(),
+    "svm_norm_weights": _svm_weights(normalised=True),
+    "score_curve": _nb_curve() + """
+select place, score, tp, fp, round(tp / all_pos, 9) as tpr, round(fp / all_neg, 9) as fpr, round(tp / (tp + fp), 9) as precision from curve
+""",
+    "score_areas": _nb_curve() + AREAS,
+    "evaluate_fitted_nb": _evaluate_fitted(),
     "evaluate_nb": _evaluate_nb(),
     "tree_root_split": _grown(1) + """
 select feature, threshold, gain, ln as left_neg, lp as left_pos, rn as right_neg, rp as right_pos from best0
