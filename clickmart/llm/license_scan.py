@@ -2,12 +2,15 @@
 
 A window of twice a template's words meets the template when it holds at
 least ``threshold`` of its distinct words, and gives a label when the
-words that decide the licence (``RULES``) stand in it too: most words of
-"CC BY-SA 4.0" and "CC BY-NC 4.0" are the same. Windows run on from line to
+words that decide the licence (``RULES``) begin in it too: most words of
+"CC BY-SA 4.0" and "CC BY-NC 4.0" are the same. What decides against a
+label is looked for in the window and the ``TAIL`` words behind it, so a
+window that ends within a notice does not miss its version or its terms; a
+version displaces the licence's name alone. Windows run on from line to
 line, as notices are wrapped.
 
-Candidates are found by blocks of words so long that every window lies in
-one. Tokens are ordered by their frequency over all blocks, rarest first.
+Candidates are found by blocks of words so long that every window and its
+tail lie in the block in whose first part the window begins. Tokens are ordered by their frequency over all blocks, rarest first.
 With ``need = ceil(threshold * size)`` a meeting block must hold one of the
 template's first ``size - need + 1`` tokens (prefix filter), must have
 ``need`` template words at all (length filter), and what stands after
@@ -38,6 +41,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, read_table, staged
 
 THRESHOLD = 0.8
+#: Words behind a window that can decide against a label; no rule looks further.
+TAIL = 12
 
 # Phrases of known places and their labels.
 PHRASES = (
@@ -77,10 +82,22 @@ def _cc_rules(name: str, nc: str, sa: str, nd: str) -> tuple:
     )
 
 
+#: A version may stand up to so many words behind the name: "... as published by the Free Software Foundation; either version 3".
+_VERSION = r"(\S+ ){0,9}(version |v)"
+_BEFORE = r" (version |v)%s (\S+ ){0,3}gnu general public licen[cs]e "
 _OTHER_GPL = (("lgpl", " gnu (lesser|library) general public licen[cs]e "), ("agpl", " gnu affero general public licen[cs]e "))
 _CC_NAMES = _cc_rules("attribution", _NC, _SA, _ND)
+_GPL_RULES = (
+    ("gpl-3", f"{_GPL}(?={_VERSION}3 )|{_BEFORE % 3}"),
+    ("gpl-2", f"{_GPL}(?={_VERSION}2 )|{_BEFORE % 2}"),
+    ("gpl", f"{_GPL}(?!{_VERSION}[23] )"),
+    *_OTHER_GPL,
+)
+#: Where one of these labels is given by a window, the general one is not.
+DISPLACED = {"gpl": ("gpl-2", "gpl-3")}
 
-#: Per template the labels it can give, each with a pattern of its window (" w1 w2 ... ") that decides it.
+#: Per template the labels it can give, each with a pattern that decides it: it begins in the window
+#: (" w1 w2 ... ") and may read on into the tail.
 RULES = dict(
     zip(
         (text for text, _ in TEMPLATES),
@@ -94,13 +111,8 @@ RULES = dict(
             _cc_rules("cc by", "nc", "sa", "nd"),
             _CC_NAMES,
             _CC_NAMES,
-            (
-                ("gpl-3", rf"^(?=.*{_GPL})(?=.* (version |v)3 )"),
-                ("gpl-2", rf"^(?=.*{_GPL})(?=.* (version |v)2 )"),
-                ("gpl", rf"^(?=.*{_GPL})(?!.* (version |v)[23] )"),
-                *_OTHER_GPL,
-            ),
-            (("gpl", _GPL), *_OTHER_GPL),
+            _GPL_RULES,
+            _GPL_RULES,
             (("bsd", r"^(?=.* redistribution )(?=.* source )(?=.* binary )"),),
             (("mpl", " mozilla public licen[cs]e "),),
             (("all-rights-reserved", r" all (\S+ )?rights (\S+ ){0,2}reserved "),),
@@ -125,8 +137,9 @@ def _need(size: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * size - 1e-9))
 
 
-#: The words of the window that begins at the i-th token.
+#: The words of the window that begins at the i-th token, and of its tail.
 WINDOW = "transform(slice(tokens, i, span), t -> t.word)"
+BEHIND = f"transform(slice(tokens, i + span, {TAIL}), t -> t.word)"
 
 
 def _strings(values) -> F.Column:
@@ -195,7 +208,7 @@ def scan_blocks(
     )
     tokens = known.select("doc", "lines", "low", F.when(can_meet(F.col("known")), numbered).alias("tokens"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0)), F.lit(reach))
-    cut = F.transform(starts, lambda s: F.slice("tokens", s + 1, 2 * reach))
+    cut = F.transform(starts, lambda s: F.slice("tokens", s + 1, 2 * reach + TAIL))
     blocks = F.transform(
         cut, lambda ts: F.struct(F.array_intersect(F.transform(ts, lambda t: t["word"]), _strings(vocabulary)).alias("words"), ts.alias("tokens"))
     )
@@ -205,9 +218,10 @@ def scan_blocks(
             F.aggregate("lines", F.lit(0).cast("long"), lambda acc, ws: acc + words_of(ws)).alias("n_words"),
             norm.alias("norm"),
             F.when(F.col("tokens").isNotNull(), F.filter(blocks, lambda b: can_meet(b["words"]))).alias("blocks"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "license-blocks",
-    ).withColumn("row", F.monotonically_increasing_id())
+    )
 
     blocks = rows.select("row", "doc", F.explode("blocks").alias("b")).select("row", "doc", "b.words", "b.tokens")
     # at most one row per vocabulary word reaches the driver
@@ -232,20 +246,27 @@ def scan_blocks(
         .where("1 + least(size - place - 1, size(words) - at - 1) + least(place, at) >= need")
     )
     window = F.expr(WINDOW)
-    places = F.expr("filter(sequence(1, size(tokens)), i -> array_contains(whole, tokens[i - 1].word))")
+    # windows begin in a block's first part; what follows belongs to the next block
+    places = F.expr(f"filter(sequence(1, least(size(tokens), {reach})), i -> array_contains(whole, tokens[i - 1].word))")
     windows = (
         candidates.select("row", "doc", "template", "label", "size", "need", "span", "whole", "tokens", F.explode(places).alias("i"))
         .withColumn("window", window)
+        .withColumn("behind", F.expr(BEHIND))
         .withColumn("shared", F.size(F.array_intersect("window", "whole")))
         .where("shared >= need")
-        .select("row", "doc", F.expr("tokens[i - 1].line").alias("line"), "template", "label", "shared", "size", "window")
+        .select("row", "doc", F.expr("tokens[i - 1].line").alias("line"), "template", "label", "shared", "size", "window", "behind")
     )
     matches = windows.groupBy("row", "doc", "line", "template", "label", "size").agg(F.max("shared").alias("shared"))
-    text = F.concat(F.lit(" "), F.array_join("window", " "), F.lit(" "))
+    inside = F.concat(F.lit(" "), F.array_join("window", " "), F.lit(" "))
+    read = F.concat(F.col("inside"), F.array_join("behind", " "), F.when(F.size("behind") > 0, F.lit(" ")).otherwise(F.lit("")))
+    windows = windows.withColumn("inside", inside).withColumn("read", read)
+    # the first match of a pattern begins in the window, if any does
     given = F.array_compact(F.array(*[
-        F.when((F.col("template") == i) & text.rlike(pattern), F.lit(name))
-        for i, (template, label) in enumerate(templates) for name, pattern in rules.get(template, ((label, ""),))
+        F.when((F.col("template") == i) & F.regexp_instr("read", F.lit(pattern)).between(1, F.length("inside") - 1), F.lit(name))
+        for i, (template, label) in enumerate(templates) for name, pattern in rules.get(template, ((label, "^"),))
     ])).cast("array<string>")
+    for general, specific in DISPLACED.items():
+        given = F.when(F.arrays_overlap(given, _strings(specific)), F.array_remove(given, general)).otherwise(given)
     best = windows.select("row", "shared", "size", F.explode(given).alias("label")).groupBy("row").agg(
         F.collect_set(F.struct("label", (F.col("shared") / F.col("size")).alias("containment"))).alias("found")
     )

@@ -387,3 +387,21 @@ def test_wrapped_license_notices(spark):
     # wherever a notice begins, it lies in one block whole
     moved = [prose(7, n) + "\n" + textwrap.fill(gpl, 30) + "\n" + prose(8, 50) for n in range(1, 100, 7)]
     assert labels_of(spark, moved) == [{"gpl"}] * len(moved)
+
+
+def test_labels_do_not_depend_on_what_stands_in_front(spark):
+    # prose of any length moves the notice over the blocks; template words in front open windows that end within it
+    fronts = ["", "the ", "this work is ", "under the ", "is under the terms of the public ", "work is licensed ", "a 4 0 international "]
+    places = [prose(500 + n, n).replace("\n", " ") + " " + front for n in range(3, 143, 7) for front in fronts]
+    gpl = [p + "This work is licensed under the GNU General Public License, version 3." for p in places]
+    nc = [p + "Licensed under CC BY-NC 4.0" + (" and then some" if i % 2 else "") for i, p in enumerate(places)]
+    assert labels_of(spark, gpl + nc) == [{"gpl-3"}] * len(gpl) + [{"cc-by-nc"}] * len(nc)
+
+
+def test_versions_displace_the_name_alone(spark):
+    fsf = "You can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"
+    texts = [
+        fsf, fsf + ", either version 3 of the License", fsf + "; version 2", fsf + " " + prose(4, 12) + " version 3",
+        "This work is licensed under version 3 of the GNU General Public License",
+    ]
+    assert labels_of(spark, texts) == [{"gpl"}, {"gpl-3"}, {"gpl-2"}, {"gpl"}, {"gpl-3"}]
