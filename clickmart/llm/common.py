@@ -38,9 +38,15 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def text_key(col: Column) -> Column:
-    """A 128-bit key of a text; null stays null."""
-    return F.md5(F.encode(col, "utf-8"))
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+    """From now on, tasks get their rows in Arrow batches of about ``size``: a worker holds few texts at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last, memory that Arrow holds but does not use goes back to the machine."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
 
 
 # ------------------------------------------------------------ numpy hashing

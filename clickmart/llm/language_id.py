@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, read_table, text_slices
+from .common import SLICE_BYTES, freed, read_table, text_slices
 
 TRI_BITS = 17
 #: Pseudo-counts of the letter frequencies in every context.
@@ -215,13 +215,22 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], t
                     langs[lo + i], scores[lo + i] = names[order[0]], min(1.0, float(part[order[0]]))
                     mixes[lo + i] = [{"lang": names[j], "share": float(part[j])} for j in order if part[j] > 0]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(mixes, pa.list_(slot))],
-                ["row", "lang_pred", "score", "mixture"],
+                [*[batch.column(c) for c in given], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(mixes, pa.list_(slot))],
+                [*given, "lang_pred", "score", "mixture"],
             )
 
-    src = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).cast("string").alias("text"))
-    kind = src.schema["row"].dataType.simpleString()
-    return src.mapInArrow(run, f"row {kind}, lang_pred string, score double, mixture array<struct<lang:string,share:double>>")
+    # a text goes to the worker and back once; the row is put together again from it
+    others = [c for c in docs.columns if c != text_col]
+    rest = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []
+    given = ["rest", "text"] if others else ["text"]
+    src = docs.select(*rest, F.col(text_col).cast("string").alias("text"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema)
+    out = src.mapInArrow(
+        lambda batches: freed(run(batches)), f"{schema}, lang_pred string, score double, mixture array<struct<lang:string,share:double>>"
+    )
+    text_type = docs.schema[text_col].dataType
+    row = F.struct(*[(F.col("text").cast(text_type) if c == text_col else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
+    return out.select(row.alias("row"), "lang_pred", "score", "mixture")
 
 
 def held_out(id_col: Column) -> Column:

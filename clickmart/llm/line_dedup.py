@@ -492,28 +492,35 @@ def dedup_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    bare_share: float = 0.8,
+    bare_share: float | None = None,
     min_chars: int = MIN_CHARS,
     max_edits: int = MAX_EDITS,
+    own_times: int | None = OWN_TIMES,
 ) -> DataFrame:
-    """The documents without repeated lines; one that loses ``bare_share`` of its characters or more goes altogether.
+    """The documents without repeated lines (those of ``repeated_lines``); one of which nothing but white space is left goes.
 
-    Each group of repeated lines keeps one in a document that stays. What a
-    document that goes has of lines found nowhere else goes with it.
+    Each group of repeated lines keeps its first one. With ``bare_share``, a
+    document that loses so much of its characters goes as well, with what it
+    has of lines found nowhere else; its groups keep a line elsewhere.
     """
-    noted, places = _noted_repeats(docs, id_col, text_col, min_chars, max_edits)
+    noted, places = _noted_repeats(docs, id_col, text_col, min_chars, max_edits, own_times)
     places = staged(places, "line-places")
-    marks = staged(_marked(noted, places).dropDuplicates(["doc", "key"]), "line-marks")
-    marks = marks.where("size(removed) > 0").withColumn("bare", F.col("removed_chars") >= bare_share * F.col("size"))
-    marks = staged(_passed_on(marks, places), "line-passed-on").select(
+    marks = staged(_marked(noted, places).dropDuplicates(["doc", "key"]), "line-marks").where("size(removed) > 0")
+    if bare_share is None:
+        marks = marks.withColumn("bare", F.lit(False))
+    else:
+        marks = _passed_on(marks.withColumn("bare", F.col("removed_chars") >= bare_share * F.col("size")), places)
+        marks = staged(marks, "line-passed-on")
+    marks = marks.select(
         F.col("doc").alias("_m_doc"), F.col("key").alias("_m_key"), F.col("removed").alias("_m_removed"), F.col("bare").alias("_m_bare")
     )
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
     joined = whole.join(marks, [whole["doc"].eqNullSafe(marks["_m_doc"]), whole["key"] == marks["_m_key"]], "left")
     text = F.col(f"row.{text_col}")
     fresh = F.when(F.col("_m_removed").isNull(), text).otherwise(without_lines(text, F.col("_m_removed")))
-    return joined.where("not coalesce(_m_bare, false)").select(
-        *[(fresh if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+    left = joined.where("not coalesce(_m_bare, false)").select("row", fresh.alias("left"), F.col("_m_removed").isNull().alias("whole"))
+    return left.where(F.col("whole") | F.col("left").rlike(r"\S")).select(
+        *[F.col("left" if c == text_col else f"row.`{c}`").alias(c) for c in docs.columns]
     )
 
 

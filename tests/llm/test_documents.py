@@ -131,7 +131,8 @@ def test_line_dedup_takes_effect(spark, edge_docs):
     rows = out.collect()
     by_id = {r["doc_id"]: r for r in rows}
     assert BASE.split("\n")[3] not in by_id[12]["text"] and prose(4, 60) in by_id[12]["text"]
-    assert 13 not in by_id and by_id[6]["text"] == LONG  # nothing but a copy and a short end
+    assert by_id[13]["text"].strip() == "and an end of its own with some more words" and by_id[6]["text"] == LONG
+    assert 13 not in {r["doc_id"] for r in line_dedup.dedup_lines(edge_docs, bare_share=0.8).collect()}
     assert by_id[2]["text"] is None and by_id[1]["text"] == ""
     assert {r["token"] for r in rows} == {"t"}
 
@@ -152,9 +153,12 @@ def test_every_line_group_keeps_one_copy(spark):
         (6, base + "\n" + z + "\n" + x + "\n" + w), (7, base + "\n" + z), (None, prose(63, 120) + "\n" + w),  # z is in bare documents only
     ]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(df).collect()}
-    left = [line for text in got.values() for line in text]
-    assert all(left.count(line) == 1 for line in {line for _, text in docs for line in text.split("\n")})
+    for share in (None, 0.8):
+        got = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(df, bare_share=share).collect()}
+        left = [line for text in got.values() for line in text]
+        assert all(left.count(line) == 1 for line in {line for _, text in docs for line in text.split("\n")})
+        if share is None:  # only 7 has nothing of its own left
+            assert set(got) == {1, 2, 3, 4, 5, 6, None} and got[2] == [x] and got[5] == [y] and got[6] == [z, w]
     assert set(got) == {1, 3, 4, 5, 6, None} and x in got[3] and got[5] == [y] and got[6] == [z] and w in got[None]
 
 
