@@ -5,8 +5,8 @@ sf_dir) and returns a DataFrame, which is written as Parquet and reread as
 the next stage's ``docs``. Each works on all rows its predecessor kept, and
 all but the last return the columns of ``documents``:
 
-1. language ID drops documents without a language or without a main one;
-2. line dedup takes repeated lines out, and documents left bare by that;
+1. language ID drops documents without a letter, as no language is in them;
+2. line dedup takes repeated lines out, and documents of which nothing is left;
 3. the n-gram Jaccard join (five words, 0.8) keeps one document of a group;
 4. benchmark decontamination drops documents with a window of an item;
 5. best-fit packing returns the token pieces and where they stand.
@@ -23,28 +23,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import staged
+from clickmart.llm.common import bounded_batches, staged
 from clickmart.llm.decontamination import contamination
 from clickmart.llm.language_id import UNKNOWN, held_out, identify, train
 from clickmart.llm.line_dedup import dedup_lines
 from clickmart.llm.ngram_join import ngram_groups, unpacked
 from clickmart.llm.pattern_packing import pack_documents
 
-#: Smallest share of a document's words that its main language must have.
-MAIN_SHARE = 0.4
 #: Word shingles and percent of similarity of near duplicates.
 WORDS, PERCENT = 5, 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a main language. The model is learned from the stage's own labelled rows outside the held-out fold."""
+    """Documents with a language, whatever their mixture.
+
+    The model is learned from the stage's own labelled rows outside the
+    held-out fold. Where they teach nothing, every text with a letter stays.
+    """
+    bounded_batches(spark)
     model = train(docs.where(~held_out(F.col("doc_id"))))
-    rows = identify(docs, model)
-    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MAIN_SHARE)).select("row.*")
+    if not model[0]:
+        return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
+    return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document (or line) has; n_chars follows the text."""
+    bounded_batches(spark)
     out = dedup_lines(docs)
     if "n_chars" in out.columns:
         kind = dict(out.dtypes)["n_chars"]
@@ -54,12 +59,14 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    bounded_batches(spark)
     kept = unpacked(ngram_groups(docs, words=WORDS, percent=PERCENT))
     return kept.select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
+    bounded_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     marks, _ = contamination(docs, items)
     hit = staged(
@@ -71,6 +78,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token pieces in sequences of at most 1024 tokens."""
+    bounded_batches(spark)
     return pack_documents(docs)
 
 
