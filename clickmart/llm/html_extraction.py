@@ -5,7 +5,10 @@ from itself: blocks of menus, page headers and footers, sidebars, notices,
 adverts, forms and reader comments (by element, role, class or id) and
 link-heavy blocks are out; blocks with many stop words, and long ones with
 some, are in; short ones, and ones with few stop words inside the marked
-article, are left open. Pass two gives each open block the label of its nearest decided
+article, are left open. On a page without a marked article whose longer
+blocks hold hardly any known stop word (another language), length and link
+density alone decide: long blocks are in, the others are left open (and in
+without links, where the neighbours are equally near). Pass two gives each open block the label of its nearest decided
 neighbour in the same region (the marked article, or the page without
 one); an open block without any stays in.
 
@@ -34,6 +37,8 @@ from .common import read_table
 SHORT, LONG = 70, 200
 #: Shares of stop words among the words, and of link text among the characters.
 STOP_HIGH, STOP_LOW, LINKS = 0.30, 0.15, 0.5
+#: Share of stop words in the longer blocks of a page below which its language is none of the known ones.
+FOREIGN = 0.05
 
 # Element names by their role in a page.
 BLOCK_TAGS = frozenset(
@@ -183,9 +188,17 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+def _foreign(blocks: list[Block]) -> bool:
+    """Whether the blocks that could be running text hold hardly any known stop word."""
+    words = [w for b in blocks if not b.dropped and len(b.text) >= SHORT and b.links <= LINKS * len(b.text)
+             for w in _WORD.findall(b.text.lower())]
+    return bool(words) and sum(w in STOP_WORDS for w in words) < FOREIGN * len(words)
+
+
 def label(blocks: list[Block]) -> None:
     """Both passes; sets ``kept`` of every block."""
     marked = any(b.article and not b.dropped for b in blocks)
+    foreign = not marked and _foreign(blocks)
     strong = []
     for b in blocks:
         if b.dropped or (marked and not b.article) or b.links > LINKS * len(b.text):
@@ -197,11 +210,13 @@ def label(blocks: list[Block]) -> None:
         if len(b.text) < SHORT:
             if b.links and not marked:
                 b.kept = False
+        elif foreign:
+            b.kept = True if len(b.text) > LONG else None
         elif density >= STOP_HIGH or (density >= STOP_LOW and len(b.text) > LONG):
             b.kept = True
         elif density < STOP_LOW and not marked:
             b.kept = False
-        strong.append(b.kept is None and density >= STOP_LOW)
+        strong.append(b.kept is None and (not b.links if foreign else density >= STOP_LOW))
     # what stands outside the marked article is no neighbour of what stands inside
     region = [i for i, b in enumerate(blocks) if b.kept is not False or not marked]
     decided = [(n, blocks[i].kept) for n, i in enumerate(region) if blocks[i].kept is not None]

@@ -177,6 +177,36 @@ def test_unwanted_hosts_are_blocked(spark):
 
 
 # ------------------------------------------------------------ op 7
+RUSSIAN = (
+    "\u0413\u043e\u0440\u043e\u0434 \u0441\u0442\u043e\u0438\u0442 \u043d\u0430 \u0431\u0435\u0440\u0435\u0433\u0443 \u0440\u0435\u043a\u0438, "
+    "\u0438 \u043a\u0430\u0436\u0434\u043e\u0435 \u0443\u0442\u0440\u043e \u043b\u043e\u0434\u043a\u0438 \u0432\u044b\u0445\u043e\u0434\u044f\u0442 \u0432 \u043c\u043e\u0440\u0435. "
+) * 4
+TAGALOG = (
+    "Ang lungsod ay nasa tabi ng ilog at tuwing umaga ay lumalabas ang mga bangka patungo sa dagat upang manghuli ng isda, "
+    "habang ang mga bata ay naglalaro malapit sa pampang hanggang sa sumikat nang mataas ang araw sa ibabaw ng mga bundok. "
+)
+
+
+@pytest.mark.parametrize("words", [RUSSIAN, TAGALOG])
+def test_unmarked_pages_in_other_languages(words):
+    one, two = words.strip(), " ".join(reversed(words.split()))
+    page = (
+        f"<html><body><nav><a href=/>Home</a></nav><div><a href=a>{words[:90]}</a> <a href=b>{words[:90]}</a></div>"
+        f"<h1>{words[:30]}</h1><p>{one}</p><p>{two}</p><div class=footer>{words}</div></body></html>"
+    )
+    assert html_extraction.main_text(page) == "\n".join([words[:30].strip(), one, two])
+
+
+def test_pages_edges(spark):
+    schema = "page_id long, url string, html string, text string, page string"
+    assert html_extraction.extract(spark.createDataFrame([], schema)).count() == 0
+    sentence = "This is the sentence that stands in the article and it is one of many. "
+    long = f"<nav>{sentence}</nav><p>{sentence * 20000}</p><script>{'x' * 100000}</script>"
+    rows = [(1, "u", None, "t", "p"), (1, "u", "", "t", "p"), (2, None, long, None, None), (2, None, long, None, None)]
+    got = sorted(r["text"] for r in html_extraction.extract(spark.createDataFrame(rows, schema)).select("text").collect())
+    assert got == ["", "", *[(sentence * 20000).strip()] * 2]
+
+
 def test_main_text_of_hard_pages():
     article = "<p>The first part of the story is about how it was made, and what it was for, in the words of those who did it.</p>"
     text = "The first part of the story is about how it was made, and what it was for, in the words of those who did it."
