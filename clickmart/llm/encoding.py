@@ -38,9 +38,13 @@ def default_path() -> str:
 
 
 class PieceEncoder:
-    """Little-endian unsigned 32-bit ids of whole texts."""
+    """Little-endian unsigned 32-bit ids of whole texts.
 
-    def __init__(self, path: str):
+    Strings of special tokens in a text are ordinary text, or with
+    ``specials`` the tokens themselves, as the file's tokenizer has them.
+    """
+
+    def __init__(self, path: str, specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -49,6 +53,8 @@ class PieceEncoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
+        self.reader = Tokenizer.from_file(path) if specials else None
+        self.special = [t.content for t in self.reader.get_added_tokens_decoder().values()] if specials else []
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece. Words go as the lines of one text: a line feed is a piece of its own there."""
@@ -66,6 +72,8 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return np.array(self.reader.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         pieces = (_COARSE if _OTHER_SCRIPT.search(text) else _LATIN).findall(text)
         ids = list(map(self.known.get, pieces))
         if None in ids:
@@ -84,6 +92,6 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> PieceEncoder:
-    """One encoder per file and Python worker."""
-    return PieceEncoder(path)
+def encoder(path: str, specials: bool = False) -> PieceEncoder:
+    """One encoder per file, reading of special strings and Python worker."""
+    return PieceEncoder(path, specials)

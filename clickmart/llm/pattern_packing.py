@@ -12,13 +12,19 @@ corpus) reaches the driver. There
    fit is repeated on the rest while it still places pieces;
 4. residuals are packed best fit, longest first, in bulk per length.
 
+Where most lengths occur once, full patterns use up the short pieces that
+would fill the gaps of the rest; so the residual is packed after each
+round of fitting, with counts rounded up and rounded down, and the plan
+with the fewest sequences is used (of equal ones that with most patterns).
+
 The result is a table of slots - for the k-th piece of each length its
 sequence and offset - whose size depends on ``length`` alone. Pieces are
 numbered per length by two-level counts (within and across ``spread``
 buckets, so a length that a third of all pieces share is spread over
 tasks) and look their slot up.
 
-Defined results: null or empty text is the end id alone; equal documents
+Defined results: null or empty text is the end id alone; a special token's
+string in a text is that token, as the tokenizer file reads it; equal documents
 and repeated rows are packed each on its own; an empty table gives an
 empty table; other columns are not read.
 """
@@ -61,7 +67,7 @@ def token_pieces(
     path = tokenizer_path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(path), np.array([end_id], "<u4").tobytes()
+        enc, end = encoder(path, specials=True), np.array([end_id], "<u4").tobytes()
         seen = 0
         for batch in batches:
             owner, piece, start, size, crc, ids = [], [], [], [], [], []
@@ -156,11 +162,11 @@ def fit_counts(patterns: np.ndarray, hist: np.ndarray, steps: int = STEPS) -> np
     return x
 
 
-def _round(patterns: np.ndarray, x: np.ndarray, left: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+def _round(patterns: np.ndarray, x: np.ndarray, left: np.ndarray, up: bool = True) -> list[tuple[tuple[int, ...], int]]:
     """Whole repeat counts, largest fits first, never more than is left of a length."""
     placed = []
     for i in np.argsort(-x, kind="stable"):
-        want = int(np.ceil(x[i] - 1e-9))
+        want = int(np.ceil(x[i] - 1e-9) if up else np.floor(x[i] + 1e-9))
         if want <= 0:
             break
         lengths = tuple(int(v) for v in patterns[i] if v)
@@ -199,18 +205,25 @@ def _best_fit(left: np.ndarray, length: int) -> list[tuple[tuple[int, ...], int]
 
 def pattern_plan(hist: np.ndarray, length: int = LENGTH, parts: int = PARTS) -> list[tuple[tuple[int, ...], int]]:
     """(lengths, repeats) whose lengths use up the histogram exactly; ``hist[v]`` pieces have length v."""
-    left = hist.astype(np.int64).copy()
-    plan = [((length,), int(left[length]))] if left[length] else []
-    left[length] = 0
-    for _ in range(FITS):
-        patterns = _patterns(left > 0, length, parts)
-        if not len(patterns):
-            break
-        placed = _round(patterns, fit_counts(patterns, left), left)
-        plan += placed
-        if sum(n for _, n in placed) < max(1, left.sum() // 200):
-            break
-    return plan + _best_fit(left, length)
+    full = [((length,), int(hist[length]))] if hist[length] else []
+    rest = hist.astype(np.int64).copy()
+    rest[length] = 0
+    best: tuple[int, list] | None = None
+    for up in (False, True):
+        left, plan = rest.copy(), []
+        for fits in range(FITS + 1):
+            whole = plan + _best_fit(left.copy(), length)
+            size = sum(n for _, n in whole)
+            if best is None or size <= best[0]:
+                best = size, whole
+            patterns = _patterns(left > 0, length, parts) if fits < FITS else ()
+            if not len(patterns):
+                break
+            placed = _round(patterns, fit_counts(patterns, left), left, up)
+            plan = plan + placed
+            if not placed:
+                break
+    return full + best[1]
 
 
 def plan_slots(plan: list[tuple[tuple[int, ...], int]], length: int) -> tuple[np.ndarray, ...]:

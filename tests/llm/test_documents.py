@@ -248,6 +248,27 @@ def test_pieces_and_packing(spark, edge_docs):
     assert sum(map(len, joined.values())) == total
 
 
+def test_special_strings_are_tokens_as_the_file_reads_them(spark):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(default_path())
+    texts = ["<|endoftext|>", "a <|endoftext|>b", "one <|endoftext|><|endoftext|> \n two", "<|endof text|>", "\u0448 <|endoftext|>\u0448"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["ids"] for r in pattern_packing.pack_documents(docs, keep_ids=True).collect()}
+    assert got == {i: [*fresh.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    assert got[0] == [50256, 2]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60))
+def test_plan_needs_no_more_sequences_than_best_fit(lengths):
+    hist = np.bincount(lengths, minlength=65)
+    plain = hist.copy()
+    plain[64] = 0
+    best_fit = int(hist[64]) + sum(n for _, n in pattern_packing._best_fit(plain, 64))
+    assert sum(n for _, n in pattern_packing.pattern_plan(hist, 64)) <= best_fit
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 24), max_size=200))
 def test_plan_uses_every_piece_once(lengths):
