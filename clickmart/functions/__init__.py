@@ -3,6 +3,7 @@
 from .columns import (
     count_distinct_with_null,
     count_where,
+    domain_size,
     day_code,
     double_text,
     format_percent,
@@ -14,6 +15,7 @@ from .columns import (
 __all__ = [
     "count_distinct_with_null",
     "count_where",
+    "domain_size",
     "day_code",
     "double_text",
     "format_percent",

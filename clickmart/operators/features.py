@@ -2,11 +2,12 @@
 
 The original job ran five grouped passes over the log (one per feature
 family, the distinct counts as two-stage group-bys) and joined the five
-results. Here the log is read and grouped once, by (user, seller, item,
-category, day), with the row count and the conditional counts: all of it
-combined before the shuffle, and a hot pair stays spread over tasks. Counts
-and null-aware distinct counts per pair are then taken from that one
-result. The pair table is joined to it on the same two keys and to the
+results. Here one aggregate of one read gives all of them: only the items
+are a true distinct count, which Spark takes by grouping on (user, seller,
+item) first, combined before the shuffle, so that a hot pair stays spread
+over tasks. Categories and days have small domains; their values travel
+as sets inside those groups, so rows are not multiplied per distinct
+count. The pair table is joined to it on the same two keys and to the
 profiles on ``user_id``.
 """
 
@@ -16,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_distinct_with_null, count_where, not_equal_null_safe
+from ..functions import count_distinct_with_null, count_where, domain_size, not_equal_null_safe
 from .aggregates import distinct_count_by
 from ..schemas import (
     ACTION_CART,
@@ -81,16 +82,12 @@ def action_features(log: DataFrame) -> DataFrame:
 
 def log_aggregate(log: DataFrame) -> DataFrame:
     """All eight log features per (user, merchant), from one read of the log."""
-    measures = ["total_logs", "one_clicks", "shopping_carts", "purchase_times", "favor_times"]
-    keys = ["user_id", F.col("seller_id").alias("merchant_id")]
-    combined = log.groupBy(*keys, "item_id", "cat_id", "time_stamp").agg(
-        F.count(F.lit(1)).alias("total_logs"), *action_measures()
-    )
-    return combined.groupBy(*PAIR_KEYS).agg(
-        *[F.sum(m).alias(m) for m in measures],
+    return log.groupBy("user_id", F.col("seller_id").alias("merchant_id")).agg(
+        F.count(F.lit(1)).alias("total_logs"),
+        *action_measures(),
         count_distinct_with_null("item_id").alias("unique_item_ids"),
-        count_distinct_with_null("cat_id").alias("categories"),
-        count_distinct_with_null("time_stamp").alias("browse_days"),
+        domain_size("cat_id").cast("long").alias("categories"),
+        domain_size("time_stamp").cast("long").alias("browse_days"),
     ).select(*PAIR_KEYS, *LOG_FEATURES)
 
 

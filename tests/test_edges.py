@@ -132,3 +132,18 @@ def test_empty_log(spark):
     r = features.fill_features(features.pair_features(pairs, log, users)).first()
     assert (r.age_range, r.gender) == (2, 1)
     assert all(r[f] == 0 for f in features.LOG_FEATURES)
+
+
+def test_pair_aggregate_counts_nulls_once_and_does_not_expand(spark):
+    from clickmart.operators.features import log_aggregate
+
+    rows = [
+        (1, None, None, 7, None, None, None), (1, None, 3, 7, None, "1111", 0), (1, 5, 3, 7, None, "1111", 2), (1, 5, 4, 7, None, None, 1),
+        (1, 5, 4, 7, None, "bad", 3), (None, 5, 4, None, None, "0101", 0),
+    ]
+    log = spark.createDataFrame(rows, "user_id long, item_id long, cat_id long, seller_id long, brand_id string, time_stamp string, action_type int")
+    out = log_aggregate(log)
+    got = {r.user_id: (r.total_logs, r.unique_item_ids, r.categories, r.browse_days, r.one_clicks) for r in out.collect()}
+    assert got == {1: (5, 2, 3, 3, 4), None: (1, 1, 1, 1, 0)}
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    assert dict(out.dtypes)["categories"] == "bigint"
