@@ -157,6 +157,39 @@ def q_report_round_trip(spark, d):
     return readers.read_lines(spark, path).select(F.col("value").alias("line"))
 
 
+def _damaged_log(spark: SparkSession, d: str) -> str:
+    """The log as a text file with a header in which some lines are cut, too long, blank or no numbers."""
+    path = f"{fresh_dir(spark, 'dirty')}/user_log_dirty.csv"
+    log = _log(spark, d)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LOG_COLUMNS]
+    kind = F.pmod(F.col("user_id") + F.col("item_id"), F.lit(11))
+    line = (
+        F.when(kind == 0, F.concat_ws(",", *fields[:5]))
+        .when(kind == 1, F.concat_ws(",", *fields, F.lit("x")))
+        .when(kind == 2, F.concat_ws(",", F.concat(F.lit("u"), fields[0]), *fields[1:]))
+        .when(kind == 3, F.concat_ws(",", *fields[:6], F.lit("1.5")))
+        .when(kind == 4, F.lit(""))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    header = spark.createDataFrame([(",".join(LOG_COLUMNS),)], "value string")
+    write_lines(header.unionByName(log.select(line.alias("value"))), path, column="value")
+    return path
+
+
+@query("csv_quarantine_good")
+def q_csv_quarantine_good(spark, d):
+    """The rows of a damaged file that can be read."""
+    return readers.quarantine(spark, _damaged_log(spark, d), LOG_SCHEMA)[0]
+
+
+@query("csv_quarantine_bad")
+def q_csv_quarantine_bad(spark, d):
+    """The other lines of that file, with the file's name and the reason."""
+    bad = readers.quarantine(spark, _damaged_log(spark, d), LOG_SCHEMA)[1]
+    name = F.regexp_extract("file", r"([^/]+\.csv)(?:/[^/]*)?$", 1)
+    return bad.select(name.alias("file"), "line", "reason")
+
+
 # ----------------------------------------------------------------- joins ---
 @query("join_inner")
 def q_join_inner(spark, d):

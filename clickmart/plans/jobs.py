@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..ml import models
 from ..operators import features, ranking, shares
 from ..schemas import DEFAULT_DAY, LOG_SCHEMA, PAIRS_SCHEMA, TOP_K, USERS_SCHEMA
-from ..sinks import stage, write, write_libsvm, write_lines, write_submission
-from ..sources import read_csv, read_libsvm, read_lines, read_log, read_pairs, read_table, read_users, register_views, require_unique
+from ..sinks import stage, write, write_libsvm, write_lines, write_submission, write_submissions
+from ..sources import read_csv, read_libsvm, read_lines, read_log, read_pairs, read_submissions, read_table, read_users, register_views, require_unique
 
 
 _SCHEMAS = {"log": LOG_SCHEMA, "users": USERS_SCHEMA, "train": PAIRS_SCHEMA}
@@ -145,3 +145,13 @@ def score_job(
             scored.where(scored.model == kind), f"{out_dir}/{kind}", single_file=single_file, mode=mode
         )
     return scored
+
+
+def submissions_job(
+    spark: SparkSession, features_path: str, model_paths: dict[str, str], out_dir: str,
+    hard: bool = False, mode: str = "errorifexists",
+) -> DataFrame:
+    """Q11: the submissions of all saved models in one pass, read back from the files (model, pair, score)."""
+    assembled = features.assemble(read_table(spark, features_path), label=None)
+    write_submissions(models.score_to_submission(model_paths, assembled, hard), out_dir, mode=mode)
+    return read_submissions(spark, out_dir)

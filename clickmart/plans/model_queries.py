@@ -20,8 +20,9 @@ from ..ml import metrics, models, trees
 from ..operators import features
 from ..schemas import FEATURES
 from ..session import fresh_dir
-from ..sinks import libsvm_lines, stage, write_libsvm
+from ..sinks import libsvm_lines, stage, write, write_libsvm
 from ..sources import fixtures, read_libsvm
+from . import jobs
 from .catalog import feature_table, query
 
 
@@ -174,6 +175,17 @@ def q_submission_keys(spark, d):
     return scored.where("score is not null").select("model", "user_id", "merchant_id")
 
 
+@query("submission_round_trip")
+def q_submission_round_trip(spark, d):
+    """Two saved models' submissions, written by one job and read back: naive Bayes and the SVM's first steps."""
+    out_dir, data = fresh_dir(spark, "submitted"), _assembled(spark, d)
+    few = {"nb": {}, "svm": dict(maxIter=SVM_STEPS, tol=0.0)}
+    paths = {kind: models.save(models.train(data, kind, **options), f"{out_dir}/models/{kind}") for kind, options in few.items()}
+    write(_filled(spark, d, scoring=True), f"{out_dir}/features")
+    read = jobs.submissions_job(spark, f"{out_dir}/features", paths, f"{out_dir}/files")
+    return read.withColumn("score", F.round("score", 9))
+
+
 @query("libsvm_round_trip")
 def q_libsvm_round_trip(spark, d):
     """Features written as LibSVM files and read back."""

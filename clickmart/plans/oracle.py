@@ -340,7 +340,25 @@ from pairs
 }
 
 
+#: The damaged file: lines by (user + item) mod 11, and why each is bad.
+DAMAGED = """
+with lines as (
+  select (user_id + item_id) % 11 as kind, *, coalesce(cast(user_id as varchar), '') as u,
+         concat_ws(',', item_id, cat_id, seller_id, coalesce(brand_id, '')) as middle
+  from user_log)
+select 'user_log_dirty.csv' as file,
+       case kind when 0 then u || ',' || middle
+                 when 1 then u || ',' || middle || ',' || time_stamp || ',' || action_type || ',x'
+                 when 2 then 'u' || u || ',' || middle || ',' || time_stamp || ',' || action_type
+                 when 3 then u || ',' || middle || ',' || time_stamp || ',1.5' else '' end as line,
+       case kind when 0 then 'short' when 1 then 'long' when 2 then 'user_id: not a bigint'
+                 when 3 then 'action_type: not a int' else 'blank' end as reason
+from lines where kind < 5
+"""
+
 SQL |= {
+    "csv_quarantine_good": "select * from user_log where (user_id + item_id) % 11 >= 5",
+    "csv_quarantine_bad": f"select * from ({DAMAGED})",
     "tree_nodes": """
 select model, trees, (select count(*) from features_filled) as root_rows,
        case when model <> 'rf' then 0 end as wrong_leaves, 0 as broken_sums
@@ -476,6 +494,21 @@ select 'nb' as model, held.*, areas.*,
 from held, areas
 """
 
+
+def _submissions(steps: int = 4) -> str:
+    """Scores of the unlabelled pairs by naive Bayes and by the SVM's weights."""
+    bayes, predicted = _nb_predictions().split("\nselect user_id", 1)
+    margin = " + ".join(f"f.{x} * w.a{i}" for i, x in enumerate(FEATURES))
+    predicted = predicted.replace("from features_filled f", "from to_score f").replace("cast(f.label as double)", "0.0")
+    return f"""{bayes}
+{_svm_weights(steps).split("select 0 as feature", 1)[0]}
+, to_score as ({SQL["scoring_features"]})
+select 'nb' as model, user_id, merchant_id, score from (select user_id{predicted})
+union all
+select 'svm' as model, f.user_id, f.merchant_id, round({margin}, 9) as score from to_score f, w{steps} w
+"""
+
+
 # queries whose SQL continues the shared WITH list instead of starting a select
 CONTINUED = {
     "train_nb": _nb_predictions(),
@@ -487,6 +520,7 @@ select place, score, tp, fp, round(tp / all_pos, 9) as tpr, round(fp / all_neg,
     "score_areas": _nb_curve() + AREAS,
     "evaluate_fitted_nb": _evaluate_fitted(),
     "evaluate_nb": _evaluate_nb(),
+    "submission_round_trip": _submissions(),
     "tree_root_split": _grown(1) + """
 select feature, threshold, gain, ln as left_neg, lp as left_pos, rn as right_neg, rp as right_pos from best0
 """,

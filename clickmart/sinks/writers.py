@@ -67,6 +67,12 @@ def write_submission(
     out.write.mode(mode).option("header", True).csv(path)
 
 
+def write_submissions(scored: DataFrame, path: str, score: str = "score", mode: str = "errorifexists") -> None:
+    """The files of all models in one pass: a folder ``model=...`` of CSV with a header for each."""
+    out = scored.select("model", "user_id", "merchant_id", F.col(score).alias("score"))
+    out.write.mode(mode).partitionBy("model").option("header", True).csv(path)
+
+
 def stage(df: DataFrame, spark: SparkSession, label: str) -> DataFrame:
     """Write ``df`` to the shared staging folder and read it back.
 

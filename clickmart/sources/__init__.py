@@ -3,11 +3,14 @@
 from .fixtures import register_views, scoring_pairs, train_pairs, user_info, user_log
 from .readers import (
     bad_values,
+    line_fault,
+    quarantine,
     read_csv,
     read_libsvm,
     read_lines,
     read_log,
     read_pairs,
+    read_submissions,
     read_table,
     read_tagged,
     read_users,
@@ -19,11 +22,14 @@ from .readers import (
 
 __all__ = [
     "bad_values",
+    "line_fault",
+    "quarantine",
     "read_csv",
     "read_libsvm",
     "read_lines",
     "read_log",
     "read_pairs",
+    "read_submissions",
     "read_table",
     "read_tagged",
     "read_users",

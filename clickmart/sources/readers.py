@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LOG_SCHEMA, PAIRS_SCHEMA, USERS_SCHEMA, all_string
+from ..session import fresh_dir
 
 PathLike = str | Sequence[str]
 
@@ -104,6 +105,12 @@ def read_pairs(spark: SparkSession, paths: PathLike, labelled: bool = True) -> D
     return read_csv(spark, paths, schema)
 
 
+def read_submissions(spark: SparkSession, path: str) -> DataFrame:
+    """The submission files of all models below ``path`` (see ``sinks.write_submissions``)."""
+    fields = "user_id bigint, merchant_id bigint, score double, model string"
+    return spark.read.schema(fields).options(header=True, mode="FAILFAST").csv(path).select("model", "user_id", "merchant_id", "score")
+
+
 def read_libsvm(spark: SparkSession, path: str, num_features: int = 10) -> DataFrame:
     """(label, features); giving ``numFeatures`` avoids a counting pass."""
     return spark.read.format("libsvm").option("numFeatures", num_features).load(path)
@@ -139,6 +146,57 @@ def split_fields(lines: DataFrame, names: Sequence[str], line_col: str = "value"
     )
 
 
+def line_fault(schema: T.StructType, line_col: str = "value") -> F.Column:
+    """Why a comma-separated line is no row of ``schema`` (no quoting); NULL if it is one.
+
+    ``blank``, ``short``, ``long``, or the first field that is there but
+    not of its type (``user_id: not a bigint``).
+    """
+    line = F.col(line_col)
+    parts = F.split(line, ",", -1)
+    fault = F.when(F.trim(line) == "", "blank")
+    fault = fault.when(F.size(parts) < len(schema), "short").when(F.size(parts) > len(schema), "long")
+    for i, f in enumerate(schema.fields):
+        value = F.trim(F.get(parts, i))
+        if not isinstance(f.dataType, T.StringType):
+            kind = f.dataType.simpleString()
+            fault = fault.when((value != "") & value.try_cast(f.dataType).isNull(), f"{f.name}: not a {kind}")
+    return fault
+
+
+def quarantine(spark: SparkSession, paths: PathLike, schema: T.StructType, out: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and bad lines as (file, line, reason), from one read of text files.
+
+    Fields stand in the order of ``schema``; lines that repeat its names
+    are headers and belong to neither. Empty fields are NULL, no fault.
+    Both outputs are written in one pass, to ``out`` or the staging folder.
+    """
+    names = [f.name for f in schema.fields]
+    lines = read_lines(spark, paths).where(F.col("value") != ",".join(names)).withColumn("reason", line_fault(schema))
+    parts = F.split(F.col("value"), ",", -1)
+    good = F.col("reason").isNull()
+    fields = []
+    for i, f in enumerate(schema.fields):
+        value = F.nullif(F.get(parts, i), F.lit(""))
+        value = value if isinstance(f.dataType, T.StringType) else F.trim(value).try_cast(f.dataType)
+        fields.append(F.when(good, value).alias(f.name))
+    out = out or fresh_dir(spark, "quarantine")
+    (
+        lines.select(
+            F.when(~good, F.col("file_path")).alias("_file"), F.when(~good, F.col("value")).alias("_line"),
+            F.col("reason").alias("_reason"), F.struct(*fields).alias("_row"), (~good).alias("_bad"),
+        ).write.partitionBy("_bad").parquet(out)
+    )
+    kept = T.StructType([
+        T.StructField("_file", T.StringType()), T.StructField("_line", T.StringType()), T.StructField("_reason", T.StringType()),
+        T.StructField("_row", schema), T.StructField("_bad", T.BooleanType()),
+    ])
+    # the schema is given: an input without bad (or any) lines has no folder to infer it from
+    stored = spark.read.schema(kept).parquet(out)
+    bad = stored.where("_bad").select(F.col("_file").alias("file"), F.col("_line").alias("line"), F.col("_reason").alias("reason"))
+    return stored.where("not _bad").select("_row.*"), bad
+
+
 def tagged_source(
     lines: DataFrame,
     log_marker: str = "user_log",

@@ -4,7 +4,7 @@ from clickmart.operators import joins
 import pytest
 
 from clickmart.schemas import LOG_SCHEMA
-from clickmart.sources import bad_values, read_csv, read_lines, read_log, read_pairs, read_tagged, read_users, split_fields, tagged_source
+from clickmart.sources import bad_values, quarantine, read_csv, read_lines, read_log, read_pairs, read_tagged, read_users, split_fields, tagged_source
 
 LOG_HEADER = "user_id,item_id,cat_id,seller_id,brand_id,time_stamp,action_type\n"
 
@@ -73,3 +73,28 @@ def test_tagged_scan_reads_each_file_once(spark, tmp_path):
     plan = young._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan text") == 2  # one per file, not both files per branch
     assert [(r.user_id, r.seller_id) for r in young.collect()] == [(1, "40")]
+
+
+def test_quarantine_splits_good_rows_from_bad_lines(spark, tmp_path):
+    a, b = tmp_path / "a.csv", tmp_path / "b.csv"
+    a.write_text(LOG_HEADER + "1,2,3,4,,1111,0\n\n1,2,3\n   \n9,,,, ,1111,\n")
+    b.write_text(LOG_HEADER + "x,2,3,4,5,1111,0\n1,2,3,4,5,1111,0,,\n1,2,3,4,5,1111,0.5\n 7 ,2,3,4,b,1111,3\n")
+    good, bad = quarantine(spark, f"{a},{b}", LOG_SCHEMA)
+    assert good.schema == LOG_SCHEMA
+    assert sorted(map(tuple, good.collect())) == [
+        (1, 2, 3, 4, None, "1111", 0), (7, 2, 3, 4, "b", "1111", 3), (9, None, None, None, " ", "1111", None),
+    ]
+    assert sorted((r.file.rsplit("/", 1)[1], r.line, r.reason) for r in bad.collect()) == [
+        ("a.csv", "", "blank"), ("a.csv", "   ", "blank"), ("a.csv", "1,2,3", "short"),
+        ("b.csv", "1,2,3,4,5,1111,0,,", "long"), ("b.csv", "1,2,3,4,5,1111,0.5", "action_type: not a int"),
+        ("b.csv", "x,2,3,4,5,1111,0", "user_id: not a bigint"),
+    ]
+
+
+def test_quarantine_without_bad_or_any_lines(spark, tmp_path):
+    clean, empty = tmp_path / "clean.csv", tmp_path / "empty.csv"
+    clean.write_text(LOG_HEADER + "1,2,3,4,,1111,0\n")
+    empty.write_text("")
+    for path, n in ((clean, 1), (empty, 0)):
+        good, bad = quarantine(spark, str(path), LOG_SCHEMA)
+        assert (good.count(), bad.count()) == (n, 0)
