@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 from ..operators import features, filters, joins, ranking, shares
 from ..operators.aggregates import count_by
 from ..operators.ordering import running
-from ..schemas import LOG_COLUMNS, LOG_SCHEMA
+from ..schemas import ACTION_CLICK, ACTION_FAVOURITE, DEFAULT_DAY, LOG_COLUMNS, LOG_SCHEMA
 from ..session import fresh_dir
 from ..sinks import write, write_lines
 from ..sources import fixtures, readers
+from ..sources.stored_log import StoredLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -281,7 +282,19 @@ def q_top_items_month(spark, d):
 
 @query("top_items_all")
 def q_top_items_all(spark, d):
-    return ranking.top_items(_log(spark, d, *_RANK_LOG), day=None)
+    """From the stored day counts; no log row is read."""
+    return ranking.top_k(fixtures.stored_log(spark, d).item_counts(), "item_id")
+
+
+@query("top_items_replaced")
+def q_top_items_replaced(spark, d):
+    """The all-time report after November came again: favourites turned into clicks, the 11th withdrawn."""
+    log = _log(spark, d)
+    stored = StoredLog.create(log, fresh_dir(spark, "replaced-log"))
+    turned = F.when(F.col("action_type") == ACTION_FAVOURITE, ACTION_CLICK).otherwise(F.col("action_type"))
+    november = log.where(F.col("time_stamp").like(MONTH) & (F.col("time_stamp") != DEFAULT_DAY))
+    stored.replace_days(november.withColumn("action_type", turned), withdrawn=[DEFAULT_DAY])
+    return ranking.top_k(stored.item_counts(), "item_id")
 
 
 @query("top_merchants")

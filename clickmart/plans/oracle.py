@@ -227,6 +227,9 @@ select user_id, merchant_id, one_clicks, shopping_carts, purchase_times, favor_t
     "top_items": _top_items("time_stamp = '1111'"),
     "top_items_month": _top_items("time_stamp like '11%'"),
     "top_items_all": _top_items("true"),
+    "top_items_replaced": _top_items(
+        "time_stamp is distinct from '1111' and not (time_stamp like '11%' and action_type is not distinct from 3)"
+    ),
     "top_merchants": _top_merchants("time_stamp = '1111'"),
     "top_merchants_month": _top_merchants("time_stamp like '11%'"),
     "top_merchants_all": _top_merchants("true"),

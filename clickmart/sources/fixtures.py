@@ -11,13 +11,14 @@ on two or more days.
 Both joins always run, whatever columns are asked for, so the rows never
 depend on the projection.
 
-``log_table`` stores the whole log once per application and state of the
-input files in the shared staging folder; later queries read only the
-columns they use and never repeat the three-table join. It has one
-layout at every size: a folder per day code, which the one-day and
-November reports prune exactly, each file sorted by (user, seller). This
-is how the log would be kept in production (a stored fact table); the
-view is only a device of the generated data.
+``stored_log`` stores the whole log, with item counts per day,
+once per application and state of the input files in the shared staging
+folder (see ``stored_log.StoredLog``); later queries read only the columns
+they use and never repeat the three-table join. It has one layout at every
+size: a folder per day code, which the one-day and November reports prune
+exactly, each file sorted by (user, seller). This is how the log would be
+kept in production (a stored fact table); the view is only a device of the
+generated data.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import day_code
-from ..schemas import ACTION_FAVOURITE, ACTION_PURCHASE, LOG_COLUMNS, LOG_SCHEMA, LOG_VIEW, USERS_VIEW
+from ..schemas import ACTION_FAVOURITE, ACTION_PURCHASE, LOG_COLUMNS, LOG_VIEW, USERS_VIEW
 from ..session import app_id, fingerprint, fresh_dir
+from .stored_log import StoredLog
 
 
 
@@ -89,35 +91,25 @@ def source_state(spark: SparkSession, sf_dir: str, names: Iterable[str] = _SOURC
     return (app_id(spark), *fingerprint(spark, [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]))
 
 
-def write_log_table(spark: SparkSession, sf_dir: str) -> str:
-    """Write the full log view once; returns the folder.
+def stored_log(spark: SparkSession, sf_dir: str, refresh: bool = False) -> StoredLog:
+    """The full log and its counts, written once per application and state of its files.
 
-    Rebalanced on the day, so AQE cuts a big day into evenly sized files.
-    """
-    path = fresh_dir(spark, "user-log")
-    (
-        user_log(spark, sf_dir)
-        .hint("rebalance", "time_stamp")
-        .sortWithinPartitions("time_stamp", "user_id", "seller_id")
-        .write.partitionBy("time_stamp")
-        .parquet(path)
-    )
-    return path
-
-
-def log_table(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
-    """The full log, written once per application and state of its files, read back.
-
-    The folder is remembered, not the DataFrame, so each caller reads it
+    The folder is remembered, not the DataFrames, so each caller reads it
     through its own session.
     """
     key = source_state(spark, sf_dir)
     with _LOCK:
         path = None if refresh else _LOG_TABLES.get(key)
         if path is None:
-            path = _LOG_TABLES[key] = write_log_table(spark, sf_dir)
-    # the schema keeps day codes as text (partition inference would read 0511 as 511)
-    return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
+            path = fresh_dir(spark, "user-log")
+            StoredLog.create(user_log(spark, sf_dir), path)
+            _LOG_TABLES[key] = path
+    return StoredLog(spark, path)
+
+
+def log_table(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
+    """The full log (see ``stored_log``)."""
+    return stored_log(spark, sf_dir, refresh).log()
 
 
 def log(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
