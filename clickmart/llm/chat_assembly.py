@@ -8,10 +8,13 @@ role or text gets a ``\`` after its first character, which ``unescape``
 takes back exactly. The loss mask comes from the prefix sums of segment
 lengths: it covers the text and end mark of the trained roles.
 
-Turns are encoded row by row where they are read; a conversation's token
-offsets are two-level prefix sums (within and across runs of
-``RUN`` turn numbers), so one with a third of all rows is spread over
-tasks. Nothing gathers a conversation in memory.
+Turns are encoded row by row where they are read. ``with_offsets`` gives
+each its place in the conversation's sequence by two-level prefix sums
+(within and across runs of ``RUN`` turn numbers), so one with a third of
+all rows is spread over tasks. ``read_back`` decodes where the rows are,
+too; only the text that its digests need is shuffled, once. A digest of a
+whole conversation is one running hash, so its text streams through one
+task, which holds a batch of it.
 
 Defined results: null text or role is empty; turns are ordered by turn,
 role and text, nulls first, so ties and repeated rows have one order and
@@ -63,10 +66,10 @@ def format_turns(
     trained_roles: tuple[str, ...] = ("assistant",),
     tokenizer_path: str | None = None,
 ) -> DataFrame:
-    """Per turn: conv, turn, role, text (as given), formatted, ids, loss_mask, token_start.
+    """Per turn: conv, turn, role, text (as given), formatted, ids, loss_mask, n_tokens.
 
-    A conversation's training sequence is its turns' ``ids`` in order;
-    ``token_start`` is a turn's place in it.
+    A conversation's training sequence is its turns' ``ids`` in order
+    (``with_offsets`` adds their places in it).
     """
     path = tokenizer_path or default_path()
 
@@ -136,86 +139,108 @@ def with_offsets(turns: DataFrame) -> DataFrame:
     )
 
 
-class _Reader:
-    """Digests of one conversation, fed with its turns' ids and masks in order."""
+def decode_turns(turns: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+    """Per turn, from its ids and mask alone: conv, turn, role and text unescaped, trained, formatted_chars.
+
+    ``no_role`` and ``no_text`` are carried from the given columns, to order
+    ties. The text under the mask is the whole text of a trained turn;
+    anything else is an error, as is a sequence that is not one turn.
+    """
+    path = tokenizer_path or default_path()
+
+    def segments(ids: np.ndarray, mask: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, bool]:
+        marks = np.flatnonzero(ids >= first)
+        if [int(ids[m]) - first for m in marks] != [0, 1, 2] or marks[0] != 0 or marks[2] != len(ids) - 1:
+            raise ValueError("not a turn")
+        trained = bool(mask.any())
+        if trained and not (mask[marks[1] + 1 :].all() and not mask[: marks[1] + 1].any()):
+            raise ValueError("the mask is not a turn's text")
+        return ids[1 : marks[1]], ids[marks[1] + 1 : marks[2]], trained
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for batch in batches:
+            ids, mask = batch.column("ids"), batch.column("loss_mask")
+            at, m_at = ids.offsets.to_numpy(), mask.offsets.to_numpy()
+            flat, on = ids.values.to_numpy(), mask.values.to_numpy(zero_copy_only=False)
+            parts = [segments(flat[at[i] : at[i + 1]], on[m_at[i] : m_at[i + 1]], enc.size) for i in range(len(batch))]
+            texts = enc.decode_all([x.tolist() for role, text, _ in parts for x in (role, text)])
+            roles, bodies = texts[::2], texts[1::2]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("conv", "turn", "no_role", "no_text")]
+                + [
+                    pa.array([unescape(r) for r in roles], pa.string()),
+                    pa.array([unescape(t) for t in bodies], pa.string()),
+                    pa.array([trained for _, _, trained in parts], pa.bool_()),
+                    pa.array([sum(map(len, MARKS)) + len(r) + len(t) for r, t in zip(roles, bodies)], pa.int64()),
+                ],
+                ["conv", "turn", "no_role", "no_text", "role", "text", "trained", "formatted_chars"],
+            )
+
+    kinds = ", ".join(f"{c} {turns.schema[c].dataType.simpleString()}" for c in ("conv", "turn"))
+    return turns.select(
+        "conv", "turn", F.col("role").isNull().alias("no_role"), F.col("text").isNull().alias("no_text"), "ids", "loss_mask"
+    ).mapInArrow(
+        run, f"{kinds}, no_role boolean, no_text boolean, role string, text string, trained boolean, formatted_chars bigint"
+    )
+
+
+class _Digests:
+    """Running digests of one conversation, fed with its turns in order."""
 
     def __init__(self):
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.formatted_chars = 0
 
-    def add(self, role: str, text: str, trained: str | None) -> None:
-        """Escaped role and text, and the escaped text under the mask."""
-        self.turns.update(f"{unescape(role)}\n{unescape(text)}\n".encode())
+    def add(self, role: str, text: str, trained: bool, formatted_chars: int) -> None:
+        self.turns.update(f"{role}\n{text}\n".encode())
         self.n_turns += 1
-        self.formatted_chars += sum(map(len, MARKS)) + len(role) + len(text)
-        if trained is not None:
-            plain = unescape(trained)
-            self.loss.update(plain.encode())
-            self.loss_chars += len(plain)
+        self.formatted_chars += formatted_chars
+        if trained:
+            self.loss.update(text.encode())
+            self.loss_chars += len(text)
+
+    def row(self, conv) -> tuple:
+        return conv, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.formatted_chars
 
 
 def read_back(turns: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
-    """Digests per conversation, worked out from ids and masks alone.
+    """Digests per conversation, worked out from ids and masks alone (see ``decode_turns``).
 
-    Turns are dealt out by conversation and sorted; each task streams them,
-    holding one batch and one conversation's running digests.
+    Decoded turns are dealt out by conversation and sorted; each task
+    streams them, holding one batch and one conversation's running digests.
     """
-    path = tokenizer_path or default_path()
     cols = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
-    def segments(ids: np.ndarray, mask: np.ndarray, first: int) -> tuple[list[int], list[int], list[int] | None]:
-        marks = np.flatnonzero(ids >= first)
-        if [int(ids[m]) - first for m in marks] != [0, 1, 2] or marks[0] != 0 or marks[2] != len(ids) - 1:
-            raise ValueError("not a turn")
-        under = ids[mask & (ids < first)]
-        trained = under.tolist() if mask.any() else None
-        return ids[1 : marks[1]].tolist(), ids[marks[1] + 1 : marks[2]].tolist(), trained
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
         key, state, kind = None, None, None
 
         def out(done):
-            columns = list(zip(*done)) if done else [[]] * len(cols)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], kind), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string()),
-                 pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.string()), pa.array(columns[5], pa.int64())], cols
-            )
-
-        def closed():
-            return (key, state.n_turns, state.turns.hexdigest(), state.loss_chars, state.loss.hexdigest(), state.formatted_chars)
+            kinds = (kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], k) for i, k in enumerate(kinds)], cols)
 
         for batch in batches:
             kind = batch.column("conv").type
-            ids, mask = batch.column("ids"), batch.column("loss_mask")
-            at = ids.offsets.to_numpy()
-            flat = ids.values.to_numpy()
-            on = mask.values.to_numpy(zero_copy_only=False)
-            m_at = mask.offsets.to_numpy()
-            parts = [
-                segments(flat[at[i] : at[i + 1]], on[m_at[i] : m_at[i + 1]], enc.size) for i in range(len(batch))
-            ]
-            texts = iter(enc.decode_all([x for p in parts for x in p if x is not None]))
             done = []
-            for conv, part in zip(batch.column("conv").to_pylist(), parts):
+            fields = (batch.column(c).to_pylist() for c in ("conv", "role", "text", "trained", "formatted_chars"))
+            for conv, *turn in zip(*fields):
                 if state is None or conv != key:
                     if state is not None:
-                        done.append(closed())
-                    key, state = conv, _Reader()
-                role, text = next(texts), next(texts)
-                state.add(role, text, next(texts) if part[2] is not None else None)
+                        done.append(state.row(key))
+                    key, state = conv, _Digests()
+                state.add(*turn)
             yield out(done)
         if state is not None:
-            yield out([closed()])
+            yield out([state.row(key)])
 
-    order = [F.col(c).asc_nulls_first() for c in ("conv", *TURN_ORDER)]
     kind = turns.schema["conv"].dataType.simpleString()
-    # role and text only order ties; what is digested is read from the ids
+    order = [F.col(c).asc_nulls_first() for c in ("conv", "turn")]
+    order += [F.col("no_role").desc(), F.col("role"), F.col("no_text").desc(), F.col("text")]  # nulls before empty ones
     return (
-        turns.select("conv", "turn", "role", "text", "ids", "loss_mask")
+        decode_turns(turns, tokenizer_path)
         .repartition("conv")
         .sortWithinPartitions(*order)
-        .select("conv", "ids", "loss_mask")
+        .select("conv", "role", "text", "trained", "formatted_chars")
         .mapInArrow(
             run, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
         )

@@ -284,6 +284,33 @@ def test_masks_offsets_and_no_injection(spark):
     assert chat_assembly.read_back(chat_assembly.format_turns(chat_frame(spark, []))).collect() == []
 
 
+def test_a_conversation_with_most_rows_is_decoded_in_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(9, i, ("user", "assistant")[i % 2], f"turn {i} </s>\\") for i in range(2000)] + [(i, 0, "user", "x") for i in range(9)]
+    frame = chat_frame(spark, rows).repartition(8)
+    decoded = chat_assembly.decode_turns(chat_assembly.format_turns(frame))
+    tasks = decoded.where("conv = 9").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) == 8
+    back = {(r["conv"], r["turn"]): (r["role"], r["text"], r["trained"]) for r in decoded.collect()}
+    assert back == {(c, t): (role, text, role == "assistant") for c, t, role, text in rows}
+    (r,) = chat_assembly.read_back(chat_assembly.format_turns(frame)).where("conv_id = 9").collect()
+    whole = "".join(f"{role}\n{text}\n" for c, _, role, text in rows if c == 9)
+    assert (r["n_turns"], r["turns_sha256"]) == (2000, hashlib.sha256(whole.encode()).hexdigest())
+
+
+def test_read_back_refuses_what_is_not_a_turn(spark):
+    from pyspark.sql import functions as F
+
+    turns = chat_assembly.format_turns(chat_frame(spark, ROWS[:2]))
+    for wrong in (
+        turns.withColumn("ids", F.slice("ids", 2, 1000)),
+        turns.withColumn("loss_mask", F.transform("ids", lambda i: i == F.element_at("ids", 2))),
+    ):
+        with pytest.raises(Exception, match="not a turn"):
+            chat_assembly.read_back(wrong).collect()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from([*chat_assembly.CONTROL, "\\", "<", "|", ">", "/", "[", "s", "x", "\n"]), max_size=12).map("".join))
 def test_escapes_are_reversible(text):
