@@ -96,3 +96,29 @@ def test_a_day_replaced_by_columns_of_other_names(spark, stored):
 def test_all_time_counts_read_no_log_row(stored):
     files = stored.item_counts().inputFiles()
     assert files and all("/item_days/" in f for f in files)
+
+
+def test_the_log_is_stored_without_counts_until_they_are_asked_for(spark):
+    from tables import MEDIUM
+
+    from clickmart.sources import fixtures
+
+    folder = lambda df: df.inputFiles()[0].split("/log/")[0]
+    log = fixtures.log_table(spark, MEDIUM, refresh=True)
+    names = lambda: [f.getPath().getName() for f in _listed(spark, folder(log))]
+    assert names() == ["log"]
+    counted = fixtures.stored_log(spark, MEDIUM)
+    assert sorted(names()) == ["item_days", "log"] and folder(counted.log()) == folder(log)
+    want = Counter(r["item_id"] for r in log.where("action_type <> 0 or action_type is null").select("item_id").collect())
+    assert {r["item_id"]: r["n"] for r in counted.item_counts().collect()} == dict(want)
+
+
+def _listed(spark, path):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+
+
+def test_counting_again_replaces_what_a_failed_attempt_left(spark, stored):
+    before = state(stored)
+    stored.count()
+    assert state(stored) == before
