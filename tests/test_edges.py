@@ -147,3 +147,14 @@ def test_pair_aggregate_counts_nulls_once_and_does_not_expand(spark):
     assert got == {1: (5, 2, 3, 3, 4), None: (1, 1, 1, 1, 0)}
     assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
     assert dict(out.dtypes)["categories"] == "bigint"
+
+
+def test_equal_and_unknown_pairs_keep_their_rows(spark):
+    log = spark.createDataFrame([(1, 5, 7, 2, "b", "1111", 2), (1, 6, 7, 2, "b", None, 0), (1, 6, 8, 3, "b", "1111", 2)], LOG_SCHEMA)
+    users = spark.createDataFrame([(1, 4, 0)], USERS_SCHEMA)
+    pairs = spark.createDataFrame([(1, 2, 0), (1, 2, 0), (1, 2, 1), (9, 9, 1), (None, 2, 0)], "user_id bigint, merchant_id bigint, label int")
+    out = features.pair_features(pairs, log, users)
+    found = [(r.user_id, r.merchant_id, r.label, r.age_range, r.total_logs, r.unique_item_ids, r.browse_days) for r in out.collect()]
+    none = (None, None, None, None)
+    want = [(1, 2, 0, 4, 2, 2, 2)] * 2 + [(1, 2, 1, 4, 2, 2, 2), (9, 9, 1, *none), (None, 2, 0, *none)]
+    assert sorted(found, key=str) == sorted(want, key=str)

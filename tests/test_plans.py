@@ -1,5 +1,6 @@
 """Physical-plan checks: the shapes the package is designed around."""
 
+import pytest
 from tables import MEDIUM
 
 from clickmart.plans.catalog import all_queries
@@ -82,3 +83,31 @@ def test_pair_feature_shuffles_with_large_sides(spark):
     # pairs 1, log combined 1, distincts 1, per pair 1, profiles 1, pairs by user 1
     assert p.count("Exchange hashpartitioning") <= 6, p
     assert "SinglePartition" not in p
+
+
+@pytest.fixture()
+def large_sides(spark):
+    """No side small enough to broadcast, as at scale."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_log_rows_travel_without_instants_and_flags(spark, large_sides):
+    from clickmart.sources import fixtures
+
+    p = plan(fixtures.user_log(spark, MEDIUM))
+    moved = p[: p.index("Exchange hashpartitioning(l_orderkey")]
+    assert "l_shipdate" not in moved and "l_returnflag" not in moved
+
+
+def test_pair_features_move_log_rows_once(spark, large_sides):
+    p = plan(Q["pair_features"](spark, MEDIUM))
+    # pairs, log rows; then the finished pairs and the profiles by user
+    assert p.count("Exchange hashpartitioning") == 4, p
+
+
+def test_tree_routes_join_no_rows(spark, large_sides):
+    p = plan(Q["tree_routes"](spark, MEDIUM))
+    assert "SortMergeJoin" not in p and p.count("Exchange hashpartitioning(user_id") == 3, p
