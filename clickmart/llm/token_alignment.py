@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import read_table, staged
-from .encoding import CACHE, encoder
+from .encoding import CACHE, PieceEncoder
 
 #: Linked id pairs that tasks look up directly; the others are joined.
 LOOKUP = 1 << 20
@@ -76,6 +76,24 @@ def piece_bytes(piece: str) -> bytes:
     return piece.replace(_SPACE, " ").encode()
 
 
+def spells(ids: bytes, table: list[bytes], text: str) -> bool:
+    """Whether the ids' bytes, joined, are the text's."""
+    return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()]) == text.encode("utf-8", "surrogatepass")
+
+
+class CheckedPieces(PieceEncoder):
+    """Remembers whether ids of some piece ever spelled something else; only then texts are compared whole."""
+
+    def __init__(self, path: str, table: list[bytes]):
+        super().__init__(path)
+        self.table, self.exact = table, True
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        found = super()._encode(pieces)
+        self.exact = self.exact and all(spells(ids, self.table, p) for p, ids in zip(pieces, found))
+        return found
+
+
 class SentenceEncoder:
     """Piece ids of whole texts, the leading space included, with a bounded cache of units.
 
@@ -83,7 +101,8 @@ class SentenceEncoder:
     feed, or a line feed. No piece holds a line feed or a space behind
     something else, so no merge crosses units (checked when loaded; else
     texts are encoded whole). A unit is encoded behind a line feed, whose
-    pieces are then taken off.
+    pieces are then taken off. ``odd`` are units whose pieces spell
+    something else: a text without any is spelled by its own pieces.
     """
 
     def __init__(self, path: str):
@@ -95,32 +114,42 @@ class SentenceEncoder:
         self.by_unit = not any("\n" in p or _SPACE in p.lstrip(_SPACE) for p in pieces)
         self.lead = self.model.encode("\n")
         self.by_unit &= all(self.model.encode("\n" + probe)[: len(self.lead)] == self.lead for probe in ("a", " a", "\n", "  "))
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
+        self.odd: set[str] = set()
 
-    def encode(self, text: str) -> np.ndarray:
+    def _new(self, units: list[str]) -> dict[str, bytes]:
+        skip, found = len(self.lead), self.model.encode(["\n" + u for u in units], num_threads=1)
+        return {u: np.array(ids[skip:], "<u4").tobytes() for u, ids in zip(units, found)}
+
+    def checked(self, text: str) -> tuple[bytes, bool]:
+        """Ids as bytes, and whether they spell space + text."""
         if not self.by_unit:
-            return np.array(self.model.encode(text), np.int32)
+            ids = np.array(self.model.encode(text), "<u4").tobytes()
+            return ids, spells(ids, self.table, " " + text)
         units = re.findall(r" *[^ \n]+| +|\n", " " + text)
-        known = self.known
-        new = list({u for u in units if u not in known})
-        fresh = {}
-        if new:
-            skip = len(self.lead)
-            found = self.model.encode(["\n" + u for u in new], num_threads=1)
-            fresh = {u: np.array(ids[skip:], np.int32) for u, ids in zip(new, found)}
-            if len(known) + len(fresh) <= CACHE:
-                known.update(fresh)
-                fresh = {}
-        parts = [known[u] for u in units] if not fresh else [fresh[u] if u in fresh else known[u] for u in units]
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        parts = list(map(self.known.get, units))
+        odd = self.odd
+        if None in parts:
+            fresh = self._new(list({u for u, i in zip(units, parts) if i is None}))
+            strange = {u for u, ids in fresh.items() if not spells(ids, self.table, u)}
+            if len(self.known) + len(fresh) <= CACHE:
+                self.known.update(fresh)
+                self.odd |= strange
+            parts = [fresh[u] if i is None else i for u, i in zip(units, parts)]
+            odd = odd | strange
+        ids = b"".join(parts)
+        return ids, odd.isdisjoint(units) or spells(ids, self.table, " " + text)
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.checked(text)[0], "<u4").astype(np.int32)
 
 
 class TokenPair:
     """Both tokenizers with the bytes of their ids."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.a, self.b = encoder(a_path), SentenceEncoder(b_path)
-        self.a_table, self.b_table = byte_level_table(a_path), self.b.table
+        self.a_table, self.b = byte_level_table(a_path), SentenceEncoder(b_path)
+        self.a, self.b_table = CheckedPieces(a_path, self.a_table), self.b.table
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_table, self.b_table))
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -128,14 +157,13 @@ class TokenPair:
         none = np.zeros(0, np.int32), np.zeros(0, np.int32)
         if not text:
             return none
-        want = b" " + text.encode("utf-8", "surrogatepass")
-        a = np.frombuffer(self.a.encode(" " + text), "<u4").astype(np.int32)
-        if b"".join([self.a_table[i] for i in a.tolist()]) != want:
+        a = self.a.encode(" " + text)
+        if not (self.a.exact or spells(a, self.a_table, " " + text)):
             return none
-        b = self.b.encode(text)
-        if b"".join([self.b_table[i] for i in b.tolist()]) != want:
+        b, exact = self.b.checked(text)
+        if not exact:
             return none
-        return a, b
+        return np.frombuffer(a, "<u4").astype(np.int32), np.frombuffer(b, "<u4").astype(np.int32)
 
 
 @lru_cache(maxsize=2)
@@ -165,31 +193,29 @@ def overlaps(a_start: np.ndarray, a_end: np.ndarray, b_start: np.ndarray, b_end:
     return a, b
 
 
-def _digits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Decimal digits of ids, right-aligned in rows, and their number."""
-    width = len(str(int(ids.max()))) if len(ids) else 1
-    out = np.empty((len(ids), width), np.uint8)
-    rest = ids.astype(np.int64)
-    for c in range(width - 1, -1, -1):
-        rest, out[:, c] = rest // 10, 48 + rest % 10
-    return out, np.maximum(1, np.searchsorted(10 ** np.arange(1, width + 1), ids, "right") + 1)
+@lru_cache(maxsize=2)
+def _digits(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of the numbers below ``size``, right-aligned in rows behind NULs, a cell left for the mark, and their number."""
+    width = len(str(size))
+    cells = np.frombuffer(b"".join(str(i).encode().rjust(width, b"\0") + b"\0" for i in range(size)), np.uint8)
+    cells = cells.reshape(size, width + 1)
+    return cells, np.count_nonzero(cells, axis=1)
 
 
 def group_texts(ids: np.ndarray, side: np.ndarray, group: np.ndarray, doc: np.ndarray, n_docs: int) -> list[bytes]:
     """``a1,a2|b1;a3|b2,b3`` per document; tokens come sorted by group."""
     if not len(ids):
         return [b""] * n_docs
-    order = np.lexsort((np.arange(len(ids)), side, group))
+    order = np.argsort(group * 2 + side, kind="stable")
     ids, side, group, doc = ids[order], side[order], group[order], doc[order]
-    digits, count = _digits(ids)
-    width = digits.shape[1]
-    cells = np.empty((len(ids), width + 1), np.uint8)
-    cells[:, :width] = digits
+    digits, counts = _digits(1 << int(ids.max()).bit_length())  # a power of two: a few tables serve all slices
+    cells, count = digits[ids], counts[ids]
+    width = cells.shape[1] - 1
     mark = np.full(len(ids), ord(","), np.uint8)
     mark[:-1][side[1:] > side[:-1]] = ord("|")
     mark[:-1][group[1:] > group[:-1]] = ord(";")
     cells[:, width] = mark
-    text = cells[np.arange(width + 1) >= (width - count)[:, None]].tobytes()
+    text = cells[cells != 0].tobytes()
     size = np.bincount(doc, weights=count + 1, minlength=n_docs).astype(np.int64)
     ends = np.cumsum(size)
     return [text[e - n : e - 1] if n else b"" for e, n in zip(ends.tolist(), size.tolist())]

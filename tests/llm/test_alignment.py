@@ -139,3 +139,14 @@ def test_intervals(cases):
     at = got["link"]
     assert got["n_groups"].tolist() == groups and len(got["a"]) == len(expanded)
     assert list(zip(got["doc"][at].tolist(), got["a"][at].tolist(), got["b"][at].tolist())) == links
+
+
+def test_a_text_of_known_words_is_not_compared_again(monkeypatch):
+    both = ta.TokenPair(*ta.default_paths())
+    text, odd = "plain words\n  and 12 more, caf\u00e9", "plain \u2581 words"
+    first = [x.tolist() for x in both.encode(text)]
+    assert all(first) and [len(x) for x in both.encode(odd)] == [0, 0]
+    calls, spells = [], ta.spells
+    monkeypatch.setattr(ta, "spells", lambda ids, table, t: calls.append(t) or spells(ids, table, t))
+    assert [x.tolist() for x in both.encode(text)] == first and not calls
+    assert [len(x) for x in both.encode(odd)] == [0, 0] and len(calls) == 1  # its odd word is remembered
