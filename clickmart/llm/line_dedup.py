@@ -21,7 +21,9 @@ that multi-match-aware selection leaves (12 for t = 2). Steps:
    from different groups that also agree on a group of character counts
    (which lines so close must) are verified. No link between groups is
    lost, and thousands of variants of a line are not compared pair by pair;
-5. verification is the banded bit-parallel edit distance, a whole batch of
+5. only lines that share a key travel as text: a fixed-size bitmap of them
+   (``FILTER_BITS``) goes to the executors, and the join behind it is exact;
+6. verification is the banded bit-parallel edit distance, a whole batch of
    pairs at once.
 
 Lines are identified by 63 bits of a hash; two different lines among n
@@ -49,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import mix, prefix_sums, read_table, signed, span_hash, staged, text_slices
+from .common import bounded_batches, in_bitmap, key_bitmap, mix, prefix_sums, read_table, signed, span_hash, staged, text_slices
 from .components import connected_components
 
 MIN_CHARS = 32
@@ -59,17 +61,50 @@ EXACT_CHARS, EXACT_DOCS = 10, 5
 #: The same for lines that one document repeats: so many characters, so many times.
 OWN_CHARS, OWN_TIMES = 6, 5
 
+#: Cells of the bitmap of lines that share a key, as a power of two.
+FILTER_BITS = 23
+
 _U = np.uint64
 _SPACE = np.zeros(0x3001, bool)
 _SPACE[[*range(33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = True
 
 
+#: Steps by which all lines are trimmed at once; what has more white space is looked up.
+_TRIM_STEPS = 16
+
+
+def _blank(chars: np.ndarray) -> np.ndarray:
+    return _SPACE[np.minimum(chars, 0x3001 - 2)]
+
+
+def _trimmed(chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the lines without the white space at their ends; one of nothing else is empty at its start."""
+    a, b = start.copy(), np.maximum(start, end)
+    for at, step, ahead in ((a, 1, 0), (b, -1, -1)):
+        rest = np.flatnonzero(a < b)
+        for _ in range(_TRIM_STEPS):
+            rest = rest[_blank(chars[at[rest] + ahead])]
+            at[rest] += step
+            rest = rest[a[rest] < b[rest]]
+            if not len(rest):
+                break
+        if len(rest):
+            solid = np.flatnonzero(~_blank(chars))
+            if step > 0:
+                a[rest] = np.minimum(np.append(solid, len(chars))[np.searchsorted(solid, a[rest])], b[rest])
+            else:
+                b[rest] = np.maximum(np.append(-1, solid)[np.searchsorted(solid, b[rest])] + 1, a[rest])
+    empty = a >= b
+    return np.where(empty, start, a), np.where(empty, start, b)
+
+
 def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """(code points, row, number, start, end) of every line, ends without white space."""
-    chars = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    before = np.zeros(len(data) + 1, np.int64)
-    np.cumsum((data & 0xC0) != 0x80, out=before[1:])
-    bounds = before[offsets]
+    if not len(data) or data.max() < 0x80:
+        chars, bounds = data.astype(np.uint32), offsets
+    else:
+        chars = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+        bounds = np.searchsorted(np.flatnonzero((data & 0xC0) != 0x80), offsets)
     # a line begins at a row's start and behind every line feed; a null or empty row has one empty line
     feed = np.flatnonzero(chars == 10)
     row = np.concatenate([np.arange(len(bounds) - 1), np.searchsorted(bounds, feed, "right") - 1])
@@ -80,20 +115,28 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     number = np.arange(len(row)) - first[row]
     last = np.r_[row[1:] != row[:-1], True] if len(row) else np.zeros(0, bool)
     end = np.where(last, bounds[row + 1], np.r_[start[1:], 0] - 1)
-    solid = np.flatnonzero(~_SPACE[np.minimum(chars, 0x3001 - 2)] | (chars >= 0x3001))
-    solid = np.append(solid, len(chars))
-    a = solid[np.searchsorted(solid[:-1], start)]
-    b = np.r_[-1, solid[:-1]][np.searchsorted(solid[:-1], end)] + 1
-    empty = a >= end
-    return chars, row, number, np.where(empty, start, a), np.where(empty, start, b)
+    return chars, row, number, *_trimmed(chars, start, end)
 
 
 def _line_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return span_hash(sums, start, end) & _U(0xFFFFFFFFFFFFFFFE)
 
 
+def _char_codes(chars: np.ndarray) -> np.ndarray:
+    return mix(chars.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + _U(1))
+
+
+#: The codes of the characters of the basic plane; others are rare and computed.
+_CODES = _char_codes(np.arange(0x10000))
+
+
 def _sums(chars: np.ndarray) -> np.ndarray:
-    return prefix_sums(mix(chars.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + _U(1)))
+    if not len(chars) or chars.max() < len(_CODES):
+        return prefix_sums(_CODES[chars])
+    codes = _CODES[np.minimum(chars, len(_CODES) - 1)]
+    far = np.flatnonzero(chars >= len(_CODES))
+    codes[far] = _char_codes(chars[far])
+    return prefix_sums(codes)
 
 
 def _document_lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -143,14 +186,13 @@ def segment_keys(
         other = length - short
         for i in range(edits + 1):
             begin, size = _segment(other, i, edits + 1)
+            place = mix(other.astype(np.uint64) * _U(edits + 1) + _U(i) + _U(0x51ED27))
             low, high = max(-i, short - (edits - i)), min(i, short + (edits - i))
             for shift in range(low, high + 1):
                 at = begin + shift
                 fits = np.flatnonzero((at >= 0) & (at + size <= length) & (size > 0))
                 s = start[fits] + at[fits]
-                h = span_hash(sums, s, s + size[fits])
-                place = other[fits].astype(np.uint64) * _U(edits + 1) + _U(i)
-                yield fits, mix(h + mix(place + _U(0x51ED27))), short == 0 and shift == 0
+                yield fits, span_hash(sums, s, s + size[fits]) ^ place[fits], short == 0 and shift == 0
 
 
 def _line_keys(docs: DataFrame, min_chars: int, edits: int) -> DataFrame:
@@ -206,8 +248,8 @@ def _sketch_distance(a: str, b: str):
     return F.expr(" + ".join(terms))
 
 
-def _line_texts(docs: DataFrame, min_chars: int, edits: int) -> DataFrame:
-    """(line, chars, s1, s2, parts) of the lines long enough, once per batch.
+def _line_texts(docs: DataFrame, min_chars: int, edits: int, wanted) -> DataFrame:
+    """(line, chars, s1, s2, parts) of the lines long enough that fall on a set cell of ``wanted`` (a broadcast bitmap), once per batch.
 
     An edit changes two of the counts by one at most. So lines within t
     edits differ in 2 t counts at most, and agree on one of 2 t + 1 groups
@@ -222,7 +264,10 @@ def _line_texts(docs: DataFrame, min_chars: int, edits: int) -> DataFrame:
                 chars, _, _, start, end = _lines(data, offsets)
                 long = end - start >= min_chars
                 start, end = start[long], end[long]
-                h, first = np.unique(_line_hash(_sums(chars), start, end), return_index=True)
+                h = _line_hash(_sums(chars), start, end)
+                hit = in_bitmap(wanted.value, h >> _U(1))
+                start, end = start[hit], end[hit]
+                h, first = np.unique(h[hit], return_index=True)
                 new = np.array([x not in seen for x in h.tolist()], bool)
                 h, first = h[new], first[new]
                 if not len(h):
@@ -331,9 +376,12 @@ def line_groups(docs: DataFrame, min_chars: int, edits: int) -> DataFrame:
         live.where("line <> pivot").select(F.greatest("line", "pivot").alias("a"), F.least("line", "pivot").alias("b")).distinct(),
         "line-stars",
     )
-    # lines that share a key: the same plan at every size, whether few or many
+    # lines that share a key: the same plan at every size, whether few or many; the bitmap keeps most others from the
+    # shuffle and, crowded, only lets more of them into the join
+    bits = key_bitmap(live.select(F.shiftrightunsigned("line", 1).alias("line")), "line", FILTER_BITS)
+    wanted = docs.sparkSession.sparkContext.broadcast(bits)
     texts = staged(
-        _line_texts(docs, min_chars, edits)
+        _line_texts(docs, min_chars, edits, wanted)
         .join(live.select("line").distinct().hint("merge"), "line", "left_semi")
         .dropDuplicates(["line"]),
         "line-texts",
@@ -525,6 +573,7 @@ def dedup_lines(
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     rows = repeated_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"), own_times=OWN_TIMES)
     return rows.select(
         F.col("doc").alias("doc_id"), F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),

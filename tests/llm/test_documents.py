@@ -6,12 +6,14 @@ import textwrap
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hard_rows import BASE, EDGE, LONG, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from clickmart.llm import decontamination, language_id, license_scan, line_dedup, ngram_join, pattern_packing
+from clickmart.llm.common import text_slices
 from clickmart.llm.encoding import PieceEncoder, default_path
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -125,6 +127,40 @@ def test_repeated_lines_match_brute_force(spark, edge_docs):
     assert sorted([(r[0], r[1]) for r in got], key=key) == brute_lines(rows, 20, 2)
 
 
+def test_only_lines_that_share_a_key_travel_as_text(spark, monkeypatch):
+    sent, plain = [], line_dedup._line_texts
+
+    def counted(*args):
+        sent.append((out := plain(*args)).count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "_line_texts", counted)
+    rows = [(1000 + i, prose(500 + i, 12)) for i in range(300)] + variants()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    rest = len({line for _, text in rows for line in text.split("\n") if len(line) >= 32})
+    got = line_dedup.repeated_lines(df).select("doc", "removed").collect()
+    assert sorted([(r[0], r[1]) for r in got], key=key) == brute_lines(rows, 32, 2)
+    assert len(variants()) <= sum(sent) < rest / 4
+
+
+def test_crowded_line_filter_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FILTER_BITS", 5)
+    rows = variants()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = line_dedup.repeated_lines(df, min_chars=20).select("doc", "removed").collect()
+    assert sorted([(r[0], r[1]) for r in got], key=key) == brute_lines(rows, 20, 2)
+
+
+def test_lines_are_cut_and_trimmed_as_python_does():
+    wide = " \t" * 40
+    texts = ["", "a", f"{wide}a b{wide}\n{wide}\n\n\U0001f600 é \n", None, f"x{wide}y\u2003\n", wide, "z" * 50 + wide + "\n\n"]
+    for part in (texts, ["plain ascii \n only", wide + "q"], [None, ""], []):
+        for lo, hi, data, offsets in text_slices(pa.array(part, pa.string())):
+            chars, row, number, start, end = line_dedup._lines(data, offsets)
+            got = [(r, n, chars[a:b].tobytes().decode("utf-32-le")) for r, n, a, b in zip(*(x.tolist() for x in (row, number, start, end)))]
+            assert got == [(r, n, line.strip()) for r, text in enumerate(part[lo:hi]) for n, line in enumerate((text or "").split("\n"))]
+
+
 def test_line_dedup_takes_effect(spark, edge_docs):
     out = line_dedup.dedup_lines(edge_docs)
     assert out.columns == edge_docs.columns
